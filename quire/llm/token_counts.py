@@ -1,9 +1,10 @@
 """Token counts: pieces are counted once per distinct pre-token and joined to per-document pre-token frequencies.
 
-A pre-token is a run of characters without ASCII white space; the tokenizer never merges across white space, so
-the pieces of a text are those of its pre-tokens. Documents are read once into blocks. A block holds a dictionary
-of its distinct pre-tokens and, packed, each document's frequencies over that dictionary; both are written to the
-shared folder. Only dictionary rows are shuffled (one per block and distinct pre-token, never one per word), so a
+Texts are cut at ASCII white space into chunks, and chunks of Latin letters, digits and ASCII signs, in lower case, by
+the vocabulary's own pattern into pre-tokens; any other chunk (control strings, other scripts, accents to compose) is one
+pre-token, whose inner cuts the library makes. The tokenizer never merges across these cuts, so the pieces of a text are
+those of its pre-tokens. Documents are read once into blocks. A block holds a dictionary of its distinct pre-tokens and,
+packed, each document's frequencies; both are written to the shared folder. Only dictionary rows are shuffled (one per block and distinct pre-token, never one per word), so a
 word that stands in every document costs one row a block. No token ids are kept.
 
 Cases: a null text is empty and has no bytes and no tokens; an empty table gives no rows; repeated rows give one
@@ -12,6 +13,7 @@ result row each; other columns of the input are ignored, whatever their names; a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,16 @@ def block_rows(block: int, words: list[bytes], docs: bytes, schema: pa.Schema) -
     yield pa.record_batch([pa.array([block], pa.int64()), pa.array([None], pa.int32()), pa.array([None], pa.binary()), pa.array([docs], pa.binary())], schema=schema)
 
 
+#: The vocabulary's pattern, for the characters that SAFE lets through.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+SAFE = re.compile(r"[!-~À-ÖØ-öø-įĲ-ňŊ-ž]+")
+
+
+def pre_tokens(chunk: bytes) -> list[str]:
+    text = chunk.decode("utf-8", "replace")
+    return PIECES.findall(text.lower()) if SAFE.fullmatch(text) and "<|" not in text else [text]
+
+
 def build_blocks(max_words: int, max_bytes: int):
     """A mapInArrow function from (doc_id, text) to BLOCK rows; a block ends at either limit, but holds whole documents."""
 
@@ -42,8 +54,12 @@ def build_blocks(max_words: int, max_bytes: int):
         words, ids, known, sizes, ends, index, counts, held = Interner(), [], [], [], [0], [], [], 0
 
         def flush():
-            docs = pack(np.array(ids, np.int64), np.array(known, np.uint8), np.array(sizes, np.int64), np.array(ends, np.int64), np.concatenate([np.zeros(0, np.int32), *index]), np.concatenate([np.zeros(0, np.int32), *counts]))
-            yield from block_rows(block, list(words), docs, schema)
+            tokens, parts, cuts = Interner(), [], [0]
+            for word in words:
+                parts += [tokens[x] for x in pre_tokens(word)]
+                cuts.append(len(parts))
+            docs = pack(np.array(parts, np.int32), np.array(cuts, np.int32), np.array(ids, np.int64), np.array(known, np.uint8), np.array(sizes, np.int64), np.array(ends, np.int64), np.concatenate([np.zeros(0, np.int32), *index]), np.concatenate([np.zeros(0, np.int32), *counts]))
+            yield from block_rows(block, [x.encode() for x in tokens], docs, schema)
 
         for batch in batches:
             texts = pc.cast(batch.column(1), pa.binary())
@@ -104,11 +120,13 @@ def sum_documents(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for docs, found in zip(batch.column("docs").to_pylist(), batch.column("found"), strict=True):
-                ids, known, sizes, ends, index, counts = unpack(docs)
-                pieces = np.zeros(int(index.max(initial=-1)) + 1, np.int64)
+                parts, cuts, ids, known, sizes, ends, index, counts = unpack(docs)
+                pieces = np.zeros(int(parts.max(initial=-1)) + 1, np.int64)
                 if found.is_valid:
                     pairs = found.values
                     pieces[np.asarray(pairs.field("idx"))] = np.asarray(pairs.field("pieces"))
+                total = np.concatenate([[0], np.cumsum(pieces[parts])])
+                pieces = total[cuts[1:]] - total[cuts[:-1]]
                 total = np.concatenate([[0], np.cumsum(pieces[index] * counts)])
                 tokens = total[ends[1:]] - total[ends[:-1]]
                 yield pa.record_batch([pa.array(ids, mask=known == 0), pa.array(sizes), pa.array(tokens), pa.array(tokens > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
@@ -116,7 +134,7 @@ def sum_documents(limit: int):
     return run
 
 
-def token_counts(spark: SparkSession, docs: DataFrame, vocabulary: str = "word_bpe_49k.json", limit: int = 2048, max_words: int = 200_000, max_bytes: int = 32 << 20) -> DataFrame:
+def token_counts(spark: SparkSession, docs: DataFrame, vocabulary: str = "word_bpe_49k.json", limit: int = 2048, max_words: int = 600_000, max_bytes: int = 64 << 20) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) of every row of docs (doc_id, text)."""
     work = Workspace(spark, "token-counts")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
