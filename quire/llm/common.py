@@ -89,14 +89,22 @@ def shown_id(name: str = "doc_id") -> Column:
     return F.when(F.col(name) != NULL_ID, F.col(name)).alias(name)
 
 
+def compress(value: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(value)
+
+
+def expand(value: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(value)
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """One compressed value that holds several one-dimensional arrays."""
     head = json.dumps([[a.dtype.str, len(a)] for a in arrays]).encode()
-    return zstandard.ZstdCompressor(level=1).compress(struct.pack("<I", len(head)) + head + b"".join(a.tobytes() for a in arrays))
+    return compress(struct.pack("<I", len(head)) + head + b"".join(a.tobytes() for a in arrays))
 
 
 def unpack(value: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(value)
+    raw = expand(value)
     (size,) = struct.unpack_from("<I", raw)
     at, out = 4 + size, []
     for kind, count in json.loads(raw[4:at]):

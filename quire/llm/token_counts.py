@@ -4,8 +4,10 @@ Texts are cut at ASCII white space into chunks, and chunks of Latin letters, dig
 the vocabulary's own pattern into pre-tokens; any other chunk (control strings, other scripts, accents to compose) is one
 pre-token, whose inner cuts the library makes. The tokenizer never merges across these cuts, so the pieces of a text are
 those of its pre-tokens. Documents are read once into blocks. A block holds a dictionary of its distinct pre-tokens and,
-packed, each document's frequencies; both are written to the shared folder. Only dictionary rows are shuffled (one per block and distinct pre-token, never one per word), so a
-word that stands in every document costs one row a block. No token ids are kept.
+packed, each document's frequencies; both are written to the shared folder. Only dictionaries are shuffled, packed by
+block and hash shard, to the shard's task, and their piece counts back to the block: one entry for each block and distinct
+pre-token, never one for each word, so a word that stands in every document costs one entry a block. A shard's task gives
+each distinct pre-token to the library once. No token ids are kept.
 
 Cases: a null text is empty and has no bytes and no tokens; an empty table gives no rows; repeated rows give one
 result row each; other columns of the input are ignored, whatever their names; a null doc_id stays null.
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +26,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Interner, Workspace, pack, unpack
+from quire.llm.common import Interner, Workspace, compress, expand, pack, unpack
 
-BLOCK = "block long, idx int, word binary, docs binary"
-
-
-def block_rows(block: int, words: list[bytes], docs: bytes, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(words), 50_000):
-        part = words[at : at + 50_000]
-        yield pa.record_batch([pa.array([block] * len(part), pa.int64()), pa.array(np.arange(at, at + len(part), dtype=np.int32)), pa.array(part, pa.binary()), pa.nulls(len(part), pa.binary())], schema=schema)
-    yield pa.record_batch([pa.array([block], pa.int64()), pa.array([None], pa.int32()), pa.array([None], pa.binary()), pa.array([docs], pa.binary())], schema=schema)
+BLOCK = "block long, shard int, content binary"
+COUNTED = "block long, shard int, content binary"
 
 
 #: The vocabulary's pattern, for the characters that SAFE lets through.
@@ -45,11 +42,14 @@ def pre_tokens(chunk: bytes) -> list[str]:
     return PIECES.findall(text.lower()) if SAFE.fullmatch(text) and "<|" not in text else [text]
 
 
-def build_blocks(max_words: int, max_bytes: int):
-    """A mapInArrow function from (doc_id, text) to BLOCK rows; a block ends at either limit, but holds whole documents."""
+def build_blocks(shards: int, max_words: int, max_bytes: int):
+    """A mapInArrow function from (doc_id, text) to BLOCK rows; a block ends at either limit, but holds whole documents.
+
+    Row -1 of a block has its documents; row s has the pre-tokens of shard s of its dictionary, one a line.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("block", pa.int64()), ("idx", pa.int32()), ("word", pa.binary()), ("docs", pa.binary())])
+        schema = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("content", pa.binary())])
         block = TaskContext.get().partitionId() << 32
         words, ids, known, sizes, ends, index, counts, held = Interner(), [], [], [], [0], [], [], 0
 
@@ -58,8 +58,18 @@ def build_blocks(max_words: int, max_bytes: int):
             for word in words:
                 parts += [tokens[x] for x in pre_tokens(word)]
                 cuts.append(len(parts))
-            docs = pack(np.array(parts, np.int32), np.array(cuts, np.int32), np.array(ids, np.int64), np.array(known, np.uint8), np.array(sizes, np.int64), np.array(ends, np.int64), np.concatenate([np.zeros(0, np.int32), *index]), np.concatenate([np.zeros(0, np.int32), *counts]))
-            yield from block_rows(block, [x.encode() for x in tokens], docs, schema)
+            names = [x.encode() for x in tokens]
+            shard = np.fromiter((crc32(x) % shards for x in names), np.int32, len(names))
+            order = np.argsort(shard, kind="stable")
+            place = np.empty(len(names), np.int32)
+            place[order] = np.arange(len(names), dtype=np.int32)
+            cuts_of = np.searchsorted(shard[order], np.arange(shards + 1))
+            docs = pack(place[np.array(parts, np.int64)], np.array(cuts, np.int32), np.array(ids, np.int64), np.array(known, np.uint8), np.array(sizes, np.int64), np.array(ends, np.int64), np.concatenate([np.zeros(0, np.int32), *index]), np.concatenate([np.zeros(0, np.int32), *counts]))
+            rows = [(-1, docs)]
+            for s in range(shards):
+                if cuts_of[s] < cuts_of[s + 1]:
+                    rows.append((s, compress(b"\n".join(names[k] for k in order[cuts_of[s] : cuts_of[s + 1]].tolist()))))
+            yield pa.record_batch([pa.array([block] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], schema=schema)
 
         for batch in batches:
             texts = pc.cast(batch.column(1), pa.binary())
@@ -85,17 +95,26 @@ def build_blocks(max_words: int, max_bytes: int):
 
 
 def count_pieces(vocabulary: str):
-    """A mapInArrow function from distinct words to their numbers of pieces."""
+    """A mapInArrow function from a shard's rows, block by block, to the pieces of their pre-tokens.
+
+    Rows come sorted by shard; each distinct pre-token of a shard is given to the library once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         count = piece_counter(vocabulary)
+        now, pieces = None, {}
         for batch in batches:
-            words = [w.decode("utf-8", "replace") for w in batch.column(0).to_pylist()]
-            out = np.concatenate([np.zeros(0, np.int64), *(count(words[at : at + 5000]) for at in range(0, len(words), 5000))])
-            yield pa.record_batch([batch.column(0), pa.array(out.astype(np.int32))], names=["word", "pieces"])
+            for block, shard, content in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if shard != now:
+                    now, pieces = shard, {}
+                words = expand(content).split(b"\n")
+                new = [x for x in words if x not in pieces]
+                pieces.update(zip(new, count([x.decode("utf-8", "replace") for x in new]), strict=True))
+                found = pack(np.fromiter(map(pieces.__getitem__, words), np.int32, len(words)))
+                yield pa.record_batch([pa.array([block], pa.int64()), pa.array([shard], pa.int32()), pa.array([found], pa.binary())], names=["block", "shard", "content"])
 
     return run
 
@@ -110,21 +129,18 @@ def piece_counter(vocabulary: str):
         model = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         model.no_truncation()
         model.no_padding()
-        return lambda words: np.array([len(x) for x in model.encode_batch_fast(words, add_special_tokens=False)], np.int64)
+        return lambda words: [len(x) for at in range(0, len(words), 5000) for x in model.encode_batch_fast(words[at : at + 5000], add_special_tokens=False)]
     raise ValueError(f"{vocabulary}: pieces of this kind of vocabulary depend on the white space between words")
 
 
 def sum_documents(limit: int):
-    """A mapInArrow function from (docs, pieces in dictionary order) to a row for each document."""
+    """A mapInArrow function from (docs, pieces by shard) to a row for each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, found in zip(batch.column("docs").to_pylist(), batch.column("found"), strict=True):
+            for docs, found in zip(batch.column("docs").to_pylist(), batch.column("found").to_pylist(), strict=True):
                 parts, cuts, ids, known, sizes, ends, index, counts = unpack(docs)
-                pieces = np.zeros(int(parts.max(initial=-1)) + 1, np.int64)
-                if found.is_valid:
-                    pairs = found.values
-                    pieces[np.asarray(pairs.field("idx"))] = np.asarray(pairs.field("pieces"))
+                pieces = np.concatenate([np.zeros(0, np.int64), *(unpack(x["content"])[0] for x in sorted(found or [], key=lambda x: x["shard"]))])
                 total = np.concatenate([[0], np.cumsum(pieces[parts])])
                 pieces = total[cuts[1:]] - total[cuts[:-1]]
                 total = np.concatenate([[0], np.cumsum(pieces[index] * counts)])
@@ -134,12 +150,13 @@ def sum_documents(limit: int):
     return run
 
 
-def token_counts(spark: SparkSession, docs: DataFrame, vocabulary: str = "word_bpe_49k.json", limit: int = 2048, max_words: int = 600_000, max_bytes: int = 64 << 20) -> DataFrame:
+def token_counts(spark: SparkSession, docs: DataFrame, vocabulary: str = "word_bpe_49k.json", limit: int = 2048, shards: int = 64, max_words: int = 600_000, max_bytes: int = 64 << 20) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) of every row of docs (doc_id, text)."""
     work = Workspace(spark, "token-counts")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = work.table(text.mapInArrow(build_blocks(max_words, max_bytes), BLOCK), "blocks")
-    words = blocks.where("idx is not null").select("block", "idx", "word")
-    pieces = words.select("word").distinct().mapInArrow(count_pieces(vocabulary), "word binary, pieces int")
-    found = words.join(pieces, "word").groupBy("block").agg(F.collect_list(F.struct("idx", "pieces")).alias("found"))
-    return blocks.where("docs is not null").select("block", "docs").join(found, "block", "left").select("docs", "found").mapInArrow(sum_documents(limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    shards = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = work.table(text.mapInArrow(build_blocks(shards, max_words, max_bytes), BLOCK), "blocks")
+    words = blocks.where("shard >= 0").repartition("shard").sortWithinPartitions("shard")
+    found = words.mapInArrow(count_pieces(vocabulary), COUNTED).groupBy("block").agg(F.collect_list(F.struct("shard", "content")).alias("found"))
+    held = blocks.where("shard < 0").select("block", F.col("content").alias("docs"))
+    return held.join(found, "block", "left").select("docs", "found").mapInArrow(sum_documents(limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
