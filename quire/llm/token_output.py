@@ -19,8 +19,8 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,23 +31,10 @@ from pyspark.sql import functions as F
 from quire.llm.common import Workspace
 
 MANIFEST = "part int, data string, places string, n_docs long, n_tokens long"
-CACHED = 1_200_000
-#: ASCII signs, which are neither letters nor digits nor white space.
-SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+CACHED = 1_500_000
 _encoders: dict[str, ChunkEncoder] = {}
 
 
-class Cache(dict):
-    """Ids of chunks; notes the chunks that were asked for in vain."""
-
-    def __init__(self):
-        self.missed: list[str] = []
-
-    def __missing__(self, chunk: str) -> bytes:
-        self.missed.append(chunk)
-        return b""
-
-
 class ChunkEncoder:
     """Ids of texts as little-endian bytes, from a cache of chunks that lives as long as the Python worker."""
 
@@ -60,7 +47,7 @@ class ChunkEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.kind = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache = Cache()
+        self.cache: dict[str, bytes] = {}
         self.unsafe = re.compile(r" \s| \Z").search
         self.pieces = re.compile(r"(?= \S)").split
 
@@ -71,44 +58,31 @@ class ChunkEncoder:
         return [first, *[" " + x for x in rest]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(texts), 64):
-            if len(self.cache) > CACHED:
-                self.cache.clear()
-            missed, again, known = self.cache.missed, {}, self.cache.__getitem__
-            for text in texts[at : at + 64]:
-                chunks, before = self.chunks(text), len(missed)
-                out.append(b"".join(map(known, chunks)))
-                if len(missed) > before:
-                    again[len(out) - 1] = chunks
-            if again:
-                self.learn(list(dict.fromkeys(missed)))
-                missed.clear()
-                for k, chunks in again.items():
-                    out[k] = b"".join(map(known, chunks))
+        cache, out = self.cache, []
+        if len(cache) > CACHED:
+            cache.clear()
+        for text in texts:
+            chunks = self.chunks(text)
+            if missing := [x for x in chunks if x not in cache]:
+                self.learn(missing)
+            out.append(b"".join([cache[x] for x in chunks]))
         return out
 
     def learn(self, chunks: list[str]) -> None:
-        """Signs after a chunk's last letter are pieces of their own; both parts are looked up before the library is asked."""
-        cache, kind = self.cache, self.kind
-        halves = {}
+        """A comma or full stop after a letter is a piece of its own, so the chunk without it is looked up first."""
+        cache, whole, ended = self.cache, [",", "."], []
         for x in chunks:
-            if x[-1:].isalnum():
-                continue
-            body = x.rstrip(SIGNS)
-            if len(body) < len(x) and body[-1:].isalpha() and "<|" not in x:
-                halves[x] = body, x[len(body) :]
-        new = list({*(x for x in chunks if x not in halves), *(y for pair in halves.values() for y in pair)}.difference(cache))
-        found = [x.ids for x in self.model.encode_batch_fast(new, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        raw = np.fromiter(chain.from_iterable(found), kind, int(sizes.sum())).tobytes()
-        ends = (np.cumsum(sizes) * kind.itemsize).tolist()
-        start = 0
-        for x, end in zip(new, ends, strict=True):
-            cache[x] = raw[start:end]
-            start = end
-        for x, (a, b) in halves.items():
-            cache[x] = cache[a] + cache[b]
+            if x[-1:] in (",", ".") and x[-2:-1].isalpha():
+                ended.append(x)
+                x = x[:-1]
+                if x in cache:
+                    continue
+            whole.append(x)
+        code = "H" if self.kind.itemsize == 2 else "I"
+        for x, found in zip(whole, self.model.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+            cache[x] = array(code, found.ids).tobytes()
+        for x in ended:
+            cache[x] = cache[x[:-1]] + cache[x[-1]]
 
 
 def encoder(vocabulary: str) -> ChunkEncoder:
