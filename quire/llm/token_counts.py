@@ -42,6 +42,15 @@ def pre_tokens(chunk: bytes) -> list[str]:
     return PIECES.findall(text.lower()) if SAFE.fullmatch(text) and "<|" not in text else [text]
 
 
+def planes(numbers: np.ndarray) -> list[np.ndarray]:
+    """The four bytes of each number as four arrays, which pack well."""
+    return [(numbers >> np.uint32(8 * k)).astype(np.uint8) for k in range(4)]
+
+
+def whole(parts: list[np.ndarray]) -> np.ndarray:
+    return sum(part.astype(np.int64) << (8 * k) for k, part in enumerate(parts))
+
+
 def build_blocks(shards: int, max_words: int, max_bytes: int):
     """A mapInArrow function from (doc_id, text) to BLOCK rows; a block ends at either limit, but holds whole documents.
 
@@ -64,7 +73,7 @@ def build_blocks(shards: int, max_words: int, max_bytes: int):
             place = np.empty(len(names), np.int32)
             place[order] = np.arange(len(names), dtype=np.int32)
             cuts_of = np.searchsorted(shard[order], np.arange(shards + 1))
-            docs = pack(place[np.array(parts, np.int64)], np.array(cuts, np.int32), np.array(ids, np.int64), np.array(known, np.uint8), np.array(sizes, np.int64), np.array(ends, np.int64), np.concatenate([np.zeros(0, np.int32), *index]), np.concatenate([np.zeros(0, np.int32), *counts]))
+            docs = pack(place[np.array(parts, np.int64)], np.array(cuts, np.int32), np.array(ids, np.int64), np.array(known, np.uint8), np.array(sizes, np.int64), np.array(ends, np.int64), *planes(np.concatenate([np.zeros(0, np.uint32), *index])), *planes(np.concatenate([np.zeros(0, np.uint32), *counts])))
             rows = [(-1, docs)]
             for s in range(shards):
                 if cuts_of[s] < cuts_of[s + 1]:
@@ -81,8 +90,8 @@ def build_blocks(shards: int, max_words: int, max_bytes: int):
                 known.append(doc_id is not None)
                 sizes.append(len(text))
                 ends.append(ends[-1] + len(numbers))
-                index.append(numbers.astype(np.int32))
-                counts.append(times.astype(np.int32))
+                index.append(np.diff(numbers, prepend=0).astype(np.uint32))
+                counts.append(times.astype(np.uint32))
                 held += len(text)
                 if len(words) >= max_words or held >= max_bytes:
                     yield from flush()
@@ -139,7 +148,10 @@ def sum_documents(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for docs, found in zip(batch.column("docs").to_pylist(), batch.column("found").to_pylist(), strict=True):
-                parts, cuts, ids, known, sizes, ends, index, counts = unpack(docs)
+                parts, cuts, ids, known, sizes, ends, *rest = unpack(docs)
+                steps, counts = whole(rest[:4]), whole(rest[4:])
+                run_up = np.concatenate([[0], np.cumsum(steps)])
+                index = run_up[1:] - np.repeat(run_up[ends[:-1]], np.diff(ends))
                 pieces = np.concatenate([np.zeros(0, np.int64), *(unpack(x["content"])[0] for x in sorted(found or [], key=lambda x: x["shard"]))])
                 total = np.concatenate([[0], np.cumsum(pieces[parts])])
                 pieces = total[cuts[1:]] - total[cuts[:-1]]
