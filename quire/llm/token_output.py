@@ -63,14 +63,16 @@ class ChunkEncoder:
             cache.clear()
         for text in texts:
             chunks = self.chunks(text)
-            if missing := [x for x in chunks if x not in cache]:
-                self.learn(missing)
-            out.append(b"".join([cache[x] for x in chunks]))
+            parts = [*map(cache.get, chunks)]
+            if None in parts:
+                self.learn({x for x, part in zip(chunks, parts, strict=True) if part is None})
+                parts = map(cache.get, chunks)
+            out.append(b"".join(parts))
         return out
 
-    def learn(self, chunks: list[str]) -> None:
+    def learn(self, chunks: set[str]) -> None:
         """A comma or full stop after a letter is a piece of its own, so the chunk without it is looked up first."""
-        cache, whole, ended = self.cache, [",", "."], []
+        cache, whole, ended = self.cache, [x for x in (",", ".") if x not in self.cache], []
         for x in chunks:
             if x[-1:] in (",", ".") and x[-2:-1].isalpha():
                 ended.append(x)
