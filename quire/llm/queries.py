@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import chat, media, token_counts, token_output
+from quire.llm import chat, decontaminate, media, mixing, token_counts, token_output
 from quire.llm.common import documents
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, documents(spark, sf_dir))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.with_probe(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return chat.digest_conversations(chat.format_conversations(rows))
@@ -28,10 +36,15 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op2_decontamination": op2_decontamination,
     "op4_chat": op4_chat,
     "op7_token_output": op7_token_output,
     "op8_token_counts": op8_token_counts,
     "op10_media": op10_media,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_mixing": mixing.oracle(),
+    "op2_decontamination": decontaminate.ORACLE,
+}
