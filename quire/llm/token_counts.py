@@ -168,7 +168,7 @@ def token_counts(spark: SparkSession, docs: DataFrame, vocabulary: str = "word_b
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shards = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = work.table(text.mapInArrow(build_blocks(shards, max_words, max_bytes), BLOCK), "blocks")
-    words = blocks.where("shard >= 0").repartition("shard").sortWithinPartitions("shard")
+    words = blocks.where("shard >= 0").repartition(shards, "shard").sortWithinPartitions("shard")
     found = words.mapInArrow(count_pieces(vocabulary), COUNTED).groupBy("block").agg(F.collect_list(F.struct("shard", "content")).alias("found"))
     held = blocks.where("shard < 0").select("block", F.col("content").alias("docs"))
     return held.join(found, "block", "left").select("docs", "found").mapInArrow(sum_documents(limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

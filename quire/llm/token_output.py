@@ -213,5 +213,6 @@ def write_tokens(spark: SparkSession, docs: DataFrame, vocabulary: str = "byte_b
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, read from the files that the manifest names."""
     base = F.coalesce(F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    files = manifest.withColumn("base", base).select("data", "places", "base").repartition("data")
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = manifest.withColumn("base", base).select("data", "places", "base").repartition(tasks, "data")
     return files.mapInArrow(read_files, "doc_id long, start long, n_tokens long, ids_crc32 long")
