@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import chat, decontaminate, media, mixing, token_counts, token_output
+from quire.llm import chat, decontaminate, media, mixing, near_dedup, token_counts, token_output
 from quire.llm.common import documents
 
 
@@ -23,6 +23,10 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_conversations(chat.format_conversations(rows))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(spark, documents(spark, sf_dir))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(token_output.write_tokens(spark, documents(spark, sf_dir)))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
     "op4_chat": op4_chat,
+    "op5_near_dedup": op5_near_dedup,
     "op7_token_output": op7_token_output,
     "op8_token_counts": op8_token_counts,
     "op10_media": op10_media,
@@ -47,4 +52,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_mixing": mixing.oracle(),
     "op2_decontamination": decontaminate.ORACLE,
+    "op5_near_dedup": near_dedup.ORACLE,
 }
