@@ -1,11 +1,12 @@
 """MinHash near-dedup: SuperMinHash signatures, banding, verification on full shingle sets, union-find groups.
 
 Documents of equal shingle sets form a class, and the least doc_id stands for it; only these go on. Signatures of 128 parts in 32
-bands of 4 miss a pair of similarity 0.75 with probability 5e-6. A bucket links its members to its hub first. Later rounds
-look only at buckets that still hold several components: there the members' signatures are compared, in blocks, and each member
-proposes its few best partners of other components; the last rounds propose all. Proposals need an estimate of at least
-0.60, four standard errors below 0.75. Each proposed pair is verified on both documents' full sets before it becomes a link.
-Pairs within a component are never looked at, so a group of copies costs about as many pairs as it has members.
+bands of 4 miss a pair of similarity 0.75 with probability 5e-6. A bucket first links its members to its hub, each pair
+being verified on both full sets. Then only buckets that still hold several components are looked at again: their members
+outside the largest component meet all members, block by block. A task tests pairs of different components by falling
+agreement of their signatures, on the full sets, and joins what it links at once, so it returns a spanning set of links and
+a group of copies costs about as many tests as it has members. A pair is tested in the first band that it shares, and only
+if its sizes allow a link and the estimate is at least 0.60, four standard errors below 0.75.
 
 Cases: null and empty texts have empty sets and are kept and linked with nothing; fewer words than a shingle make one shingle;
 ties go to the least doc_id; repeated rows give one result row each, and different texts under one doc_id count as
@@ -29,8 +30,10 @@ from quire.llm.hashing import WordHashes, band_hashes, shingles, super_min_hash
 
 SIZE, ROWS = 128, 4
 SIGNED = "doc_id long, n_shingles long, class binary, bands array<long>, marks binary"
-#: Elements whose signatures are made at once, and members of a bucket that are compared in one task.
-AT_ONCE, BLOCK = 200_000, 4096
+#: Elements whose signatures are made at once, and members of a bucket in a block.
+AT_ONCE, BLOCK = 200_000, 1024
+#: Signature parts that have to agree before a pair of an open bucket is tested.
+LEAST = round(0.6 * SIZE)
 #: Ids up to which a side is broadcast.
 IDS = 1_000_000
 
@@ -80,42 +83,63 @@ def verify(words: int, percent: int):
             linked = []
             for a, b, text_a, text_b in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 first, second = set_of(a, text_a), set_of(b, text_b)
-                common = len(np.intersect1d(first, second, assume_unique=True))
-                linked.append(100 * common >= percent * (len(first) + len(second) - common))
+                shared = common(first, second)
+                linked.append(100 * shared >= percent * (len(first) + len(second) - shared))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
     return run
 
 
-def propose(least: int, best: int | None):
-    """An applyInArrow function: of a bucket's block pair, pairs of different components whose signatures agree in at least so many parts.
+def common(first: np.ndarray, second: np.ndarray) -> int:
+    if not len(first):
+        return 0
+    at = first.searchsorted(second)
+    at[at == len(first)] = 0
+    return int((first[at] == second).sum())
 
-    best: so many partners of each member at most, those that agree most.
-    """
+
+def link_block(words: int, percent: int):
+    """An applyInArrow function: links of different components between the two sides of a bucket's blocks, as few as join them."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, roots, side = (table.column(k).to_numpy() for k in ("rep", "root", "side"))
+        hashes, sets = WordHashes(), {}
+        ids, roots, sides, bands, sizes = (table.column(k).to_numpy() for k in ("rep", "root", "side", "band", "n_shingles"))
+        texts = table.column("text")
         marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, SIZE)
-        first, second = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)
-        pairs = []
-        for at in range(0, len(first), 32):
-            rows = first[at : at + 32]
-            agree = np.zeros((len(rows), len(second)), np.int32)
-            for k, row in enumerate(rows):
-                agree[k] = (marks[second] == marks[row]).sum(axis=1)
-            agree[roots[rows][:, None] == roots[second][None, :]] = 0
-            if best is not None and agree.shape[1] > best:
-                cut = np.partition(agree, -best, axis=1)[:, -best][:, None]
-                agree[agree < cut] = 0
-            found = np.argwhere(agree >= least)
-            if best is not None and len(found):
-                order = np.lexsort((ids[second[found[:, 1]]], -agree[found[:, 0], found[:, 1]], found[:, 0]))
-                found = found[order]
-                place = np.arange(len(found)) - np.searchsorted(found[:, 0], found[:, 0])
-                found = found[place < best]
-            pairs.append(np.stack([ids[rows[found[:, 0]]], ids[second[found[:, 1]]]], axis=1))
-        out = np.unique(np.sort(np.concatenate([np.zeros((0, 2), np.int64), *pairs]), axis=1), axis=0)
-        return pa.table({"a": out[:, 0], "b": out[:, 1]})
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.get(x, x) != x:
+                parent[x] = parent.get(parent[x], parent[x])
+                x = parent[x]
+            return x
+
+        def set_of(k: int) -> np.ndarray:
+            if ids[k] not in sets:
+                sets[ids[k]] = sets_of(hashes, [texts[int(k)].as_py().encode()], words)[0]
+            return sets[ids[k]]
+
+        first, second = np.flatnonzero(sides == 1), np.flatnonzero(sides == 2)
+        candidates, weights = [], []
+        for k in first:
+            same = marks[second] == marks[k]
+            agree = same.sum(axis=1)
+            agree[(roots[second] == roots[k]) | (100 * np.minimum(sizes[second], sizes[k]) < percent * np.maximum(sizes[second], sizes[k]))] = 0
+            near = np.flatnonzero(agree >= LEAST)
+            near = near[same[near].reshape(len(near), SIZE // ROWS, ROWS).all(axis=2).argmax(axis=1) == bands[k]]
+            candidates.append(np.stack([np.full(len(near), k), second[near]], axis=1))
+            weights.append(agree[near])
+        pairs = np.concatenate([np.zeros((0, 2), np.int64), *candidates])
+        links = []
+        for x, y in pairs[np.argsort(-np.concatenate([np.zeros(0, np.int64), *weights]), kind="stable")]:
+            a, b = find(int(roots[x])), find(int(roots[y]))
+            if a == b:
+                continue
+            shared = common(set_of(x), set_of(y))
+            if 100 * shared >= percent * (len(set_of(x)) + len(set_of(y)) - shared):
+                parent[max(a, b)] = min(a, b)
+                links.append((int(ids[x]), int(ids[y])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
 
@@ -123,63 +147,49 @@ def propose(least: int, best: int | None):
 class NearGroups:
     """The stages of near-dedup over docs (doc_id, text); result() has a row for each document."""
 
-    def __init__(self, spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 75, best: int = 4, rounds: int = 3):
+    def __init__(self, spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 75):
         self.work = Workspace(spark, "near-dedup")
         self.words, self.percent = words, percent
         text = docs.select(safe_id(), F.col("text").cast("string").alias("text"))
         self.signed = self.work.table(text.mapInArrow(sign(words), SIGNED), "signed")
         self.classes = self.work.table(self.signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep")), "classes")
-        heads = self.signed.select("doc_id", "class", "bands", "marks").join(self.classes, "class").where("doc_id = rep").dropDuplicates(["rep"])
-        spread = heads.select("rep", F.explode("bands").alias("bucket"))
+        heads = self.signed.select("doc_id", "class", "n_shingles", "bands", "marks").join(self.classes, "class").where("doc_id = rep").dropDuplicates(["rep"])
+        spread = heads.select("rep", F.posexplode("bands").alias("band", "bucket"))
         shared = spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
-        self.members = self.work.table(spread.join(shared, "bucket").select("bucket", "hub", "rep"), "members")
+        self.members = self.work.table(spread.join(shared, "bucket").select("bucket", "band", "hub", "rep"), "members")
         reps = self.members.select("rep").distinct()
         reps = self.work.table(reps, "reps")
-        self.some = reps.count() <= IDS
-        known = F.broadcast(reps) if self.some else reps
-        self.texts = self.work.table(text.join(known.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
-        self.marks = self.work.table(heads.select("rep", "marks").join(known, "rep"), "marks")
-        self.roots = self._resolve(best, rounds)
-
-    def _links(self, name: str, pairs: DataFrame) -> DataFrame:
-        """a, b, linked of the proposed pairs."""
-        texts = [self.texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b")]
-        rows = pairs.join(texts[0], "a").join(texts[1], "b").select("a", "b", "text_a", "text_b")
-        return self.work.table(rows.mapInArrow(verify(self.words, self.percent), "a long, b long, linked boolean"), name)
-
-    def _resolve(self, best: int, rounds: int) -> DataFrame:
+        known = F.broadcast(reps) if reps.count() <= IDS else reps
+        texts = text.join(known.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text"))
+        self.texts = self.work.table(texts.join(heads.select("rep", "n_shingles", "marks"), "rep"), "texts")
+        self.roots = self._resolve()
+
+    def _resolve(self) -> DataFrame:
+        texts = [self.texts.select(F.col("rep").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b")]
         hubs = self.members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-        tested = self._links("links-0", hubs)
-        roots = components(self.work, "round-0", tested.where("linked").select("a", "b"))
-        level = 0
-        while True:
-            level += 1
-            pairs = self._open_pairs(roots, best if level <= rounds else None)
-            fresh = self.work.table(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), f"pairs-{level}")
-            if not fresh.count():
-                if level > rounds:
-                    return roots
-                level = rounds
-                continue
-            links = self._links(f"links-{level}", fresh)
-            tested = tested.unionByName(links)
-            ends = [roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b")]
-            moved = links.where("linked").join(ends[0], "a", "left").join(ends[1], "b", "left")
-            step = components(self.work, f"round-{level}", moved.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
-            new = follow(roots, step).unionByName(step.join(roots.select("node"), "node", "left_anti").select("node", "root"))
-            roots = self.work.table(new, f"roots-{level}")
-
-    def _open_pairs(self, roots: DataFrame, best: int | None) -> DataFrame:
-        """Pairs that buckets of several components propose."""
-        members = self.members.select("bucket", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("root", "rep").alias("root"))
-        open_buckets = members.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n")).where("least < most")
-        rows = members.join(open_buckets.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "bucket")
-        own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-        rows = rows.select("bucket", "rep", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-        rows = rows.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "rep", "root", side.alias("side")).join(self.marks, "rep")
-        found = rows.groupBy("bucket", "low", "high").applyInArrow(propose(round(0.6 * SIZE), best), "a long, b long")
-        return found.distinct()
+        hubs = hubs.join(texts[0], "a").join(texts[1], "b").select("a", "b", "text_a", "text_b")
+        links = hubs.mapInArrow(verify(self.words, self.percent), "a long, b long, linked boolean").where("linked")
+        roots = components(self.work, "hubs", links.select("a", "b"))
+        links = self.work.table(self._open_links(roots), "links")
+        ends = [roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b")]
+        moved = links.join(ends[0], "a", "left").join(ends[1], "b", "left")
+        step = components(self.work, "open", moved.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+        return self.work.table(follow(roots, step).unionByName(step.join(roots.select("node"), "node", "left_anti").select("node", "root")), "roots")
+
+    def _open_links(self, roots: DataFrame) -> DataFrame:
+        """Links that join components within buckets of several components."""
+        members = self.members.select("bucket", "band", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "band", "rep", F.coalesce("root", "rep").alias("root"))
+        parts = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+        most = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("home")).where("parts > 1")
+        blocks = most.select("bucket", F.col("home.root").alias("home"), F.ceil(F.col("n") / BLOCK).cast("int").alias("all_blocks"), F.ceil((F.col("n") - F.col("home.n")) / BLOCK).cast("int").alias("own_blocks"))
+        rows = members.join(blocks, "bucket")
+        place = F.pmod(F.xxhash64("rep"), F.lit(1 << 30))
+        own, other = (place % F.col("own_blocks")).cast("int"), (place % F.col("all_blocks")).cast("int")
+        upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        as_first = F.transform(F.when(F.col("root") != F.col("home"), upto("all_blocks")).otherwise(F.array().cast("array<int>")), lambda k: F.struct(F.lit(1).alias("side"), own.alias("low"), k.alias("high")))
+        as_second = F.transform(upto("own_blocks"), lambda k: F.struct(F.lit(2).alias("side"), k.alias("low"), other.alias("high")))
+        rows = rows.select("bucket", "band", "rep", "root", F.explode(F.concat(as_first, as_second)).alias("at")).select("bucket", "band", "rep", "root", "at.*")
+        return rows.join(self.texts, "rep").groupBy("bucket", "low", "high").applyInArrow(link_block(self.words, self.percent), "a long, b long").distinct()
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept."""
