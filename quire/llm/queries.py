@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import chat, decontaminate, media, mixing, near_dedup, token_counts, token_output
+from quire.llm import chat, decontaminate, media, mixing, near_dedup, substring_dedup, suffix_dedup, token_counts, token_output
 from quire.llm.common import documents
 
 
@@ -27,6 +27,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(spark, documents(spark, sf_dir))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(spark, documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(token_output.write_tokens(spark, documents(spark, sf_dir)))
 
@@ -35,6 +39,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(spark, documents(spark, sf_dir))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_matches(spark, documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digest_media(media.to_media(documents(spark, sf_dir)))
 
@@ -44,8 +52,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op4_chat": op4_chat,
     "op5_near_dedup": op5_near_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_token_output": op7_token_output,
     "op8_token_counts": op8_token_counts,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_media": op10_media,
 }
 
@@ -53,4 +63,6 @@ ORACLE: dict[str, str] = {
     "op1_mixing": mixing.oracle(),
     "op2_decontamination": decontaminate.ORACLE,
     "op5_near_dedup": near_dedup.ORACLE,
+    "op6_substring_dedup": substring_dedup.oracle(35),
+    "op9_suffix_dedup": substring_dedup.oracle(50),
 }
