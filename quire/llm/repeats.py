@@ -17,7 +17,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +27,21 @@ from quire.llm.hashing import WordHashes, run_hashes
 
 GRAM = 8
 #: Words and bytes of a block, at least one document; ids up to which a side is broadcast; starts handled at once.
-WORDS, BYTES, IDS, STRIDE = 6_000_000, 48 << 20, 1_000_000, 1 << 19
+WORDS, BYTES, IDS, STRIDE = 2_000_000, 16 << 20, 1_000_000, 1 << 19
 BLOCKS = "block long, part int, doc_id long, n_words long, whole_sha256 string, text_id binary, content binary"
 ANSWERS = "block long, part int, content binary"
 #: Parts of a block that are no groups.
 DOCS, BODY = -2, -1
 
 
+def each(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    """The rows of batches one at a time, as their values may be large."""
+    for batch in batches:
+        columns = [batch.column(x) for x in names]
+        for k in range(batch.num_rows):
+            yield tuple(c[k].as_py() for c in columns)
+
+
 def block_schema() -> pa.Schema:
     return pa.schema([("block", pa.int64()), ("part", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("whole_sha256", pa.string()), ("text_id", pa.binary()), ("content", pa.binary())])
 
@@ -110,7 +117,7 @@ def scan(length: int, groups: int):
     """A mapInArrow function from (doc_id, text) to blocks of documents with their minimisers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, block = WordHashes(), TaskContext.get().partitionId() << 32
+        hashes, block = WordHashes(200_000), TaskContext.get().partitionId() << 32
         docs, places, keys, words, size = [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -121,21 +128,19 @@ def scan(length: int, groups: int):
             body = pack(np.array([d["doc_id"] or 0 for d in docs], np.int64), np.array([d["doc_id"] is not None for d in docs], np.uint8), ids, ends, np.concatenate([np.zeros(0, np.uint32), *places]), index.astype(np.uint32), found)
             return rows_of(block, [*docs, {"part": BODY, "content": body}, *rows])
 
-        for batch in batches:
-            texts = pc.cast(batch.column(1), pa.binary())
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts.to_pylist(), strict=True):
-                found = (text or b"").split()
-                numbers = hashes.of(found)
-                docs.append({"part": DOCS, "doc_id": doc_id, "n_words": len(found), "whole_sha256": hashlib.sha256(b" ".join(found)).hexdigest(), "text_id": xxhash.xxh3_128_digest(numbers.tobytes())})
-                grams = run_hashes(numbers, GRAM)
-                chosen = np.unique(minimisers(grams, length - GRAM + 1))
-                places.append(chosen.astype(np.uint32))
-                keys.append(grams[chosen])
-                words, size = words + len(found), size + len(text or b"")
-                if words >= WORDS or size >= BYTES:
-                    yield flush()
-                    block += 1
-                    docs, places, keys, words, size = [], [], [], 0, 0
+        for doc_id, text in each(batches, "doc_id", "text"):
+            found = (text or "").encode().split()
+            numbers = hashes.of(found)
+            docs.append({"part": DOCS, "doc_id": doc_id, "n_words": len(found), "whole_sha256": hashlib.sha256(b" ".join(found)).hexdigest(), "text_id": xxhash.xxh3_128_digest(numbers.tobytes())})
+            grams = run_hashes(numbers, GRAM)
+            chosen = np.unique(minimisers(grams, length - GRAM + 1))
+            places.append(chosen.astype(np.uint32))
+            keys.append(grams[chosen])
+            words, size = words + len(found), size + len(text or "")
+            if words >= WORDS or size >= BYTES:
+                yield flush()
+                block += 1
+                docs, places, keys, words, size = [], [], [], 0, 0
         if docs:
             yield flush()
 
@@ -144,17 +149,15 @@ def scan(length: int, groups: int):
 
 def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (content, answers) of blocks to the documents that hold repeated minimisers, with these places."""
-    for batch in batches:
-        for content, answers in zip(batch.column("content").to_pylist(), batch.column("answers").to_pylist(), strict=True):
-            ids, known, text_ids, ends, places, index, found = unpack(content)
-            groups = even_groups(found, int(batch.column("groups")[0].as_py()))
-            again = answered(np.argsort(groups, kind="stable"), answers)[index]
-            out = []
-            for k in range(len(ids)):
-                part = slice(ends[k], ends[k + 1])
-                if again[part].any():
-                    out.append((int(ids[k]) if known[k] else None, text_ids[16 * k : 16 * k + 16].tobytes(), pack(places[part][again[part]])))
-            yield pa.record_batch([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary()), pa.array([r[2] for r in out], pa.binary())], names=["doc_id", "text_id", "places"])
+    for content, answers, count in each(batches, "content", "answers", "groups"):
+        ids, known, text_ids, ends, places, index, found = unpack(content)
+        again = answered(np.argsort(even_groups(found, count), kind="stable"), answers)[index]
+        out = []
+        for k in range(len(ids)):
+            part = slice(ends[k], ends[k + 1])
+            if again[part].any():
+                out.append((int(ids[k]) if known[k] else None, text_ids[16 * k : 16 * k + 16].tobytes(), pack(places[part][again[part]])))
+        yield pa.record_batch([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary()), pa.array([r[2] for r in out], pa.binary())], names=["doc_id", "text_id", "places"])
 
 
 def runs(length: int):
@@ -165,7 +168,7 @@ def runs(length: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, block = WordHashes(), TaskContext.get().partitionId() << 32
+        hashes, block = WordHashes(200_000), TaskContext.get().partitionId() << 32
         texts, ids, ends, starts, parts, count, size = [], [], [0], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -174,27 +177,26 @@ def runs(length: int):
             body = pack(np.frombuffer(b"".join(ids), np.uint8), np.array(ends, np.int64), np.concatenate([np.zeros(0, np.uint32), *starts]), index.astype(np.uint32), words[first].astype(np.uint16), grams[first].astype(np.uint32), found, (counts > 1).astype(np.uint8))
             return rows_of(block, [{"part": BODY, "content": body}, {"part": DOCS, "content": compress(b"\n".join(texts))}])
 
-        for batch in batches:
-            for text, text_id, packed in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                found = (text or "").encode().split()
-                numbers = hashes.of(found)
-                if xxhash.xxh3_128_digest(numbers.tobytes()) != text_id:
-                    continue  # another text under the same doc_id
-                grams = run_hashes(numbers, GRAM)
-                at = minimisers(grams, length - GRAM + 1)
-                marked = np.zeros(len(grams), bool)
-                marked[unpack(packed)[0]] = True
-                chosen = np.flatnonzero(marked[at])
-                texts.append(b" ".join(found))
-                ids.append(text_id)
-                ends.append(ends[-1] + len(chosen))
-                starts.append(chosen.astype(np.uint32))
-                parts.append((numbers[chosen], grams[chosen], run_hashes(numbers, length)[chosen]))
-                count, size = count + len(chosen), size + len(texts[-1])
-                if count >= WORDS // 4 or size >= BYTES // 2:
-                    yield flush()
-                    block += 1
-                    texts, ids, ends, starts, parts, count, size = [], [], [0], [], [], 0, 0
+        for text, text_id, packed in each(batches, "text", "text_id", "places"):
+            found = (text or "").encode().split()
+            numbers = hashes.of(found)
+            if xxhash.xxh3_128_digest(numbers.tobytes()) != text_id:
+                continue  # another text under the same doc_id
+            grams = run_hashes(numbers, GRAM)
+            at = minimisers(grams, length - GRAM + 1)
+            marked = np.zeros(len(grams), bool)
+            marked[unpack(packed)[0]] = True
+            chosen = np.flatnonzero(marked[at])
+            texts.append(b" ".join(found))
+            ids.append(text_id)
+            ends.append(ends[-1] + len(chosen))
+            starts.append(chosen.astype(np.uint32))
+            parts.append((numbers[chosen], grams[chosen], run_hashes(numbers, length)[chosen]))
+            count, size = count + len(chosen), size + len(texts[-1])
+            if count >= WORDS // 4 or size >= BYTES // 2:
+                yield flush()
+                block += 1
+                texts, ids, ends, starts, parts, count, size = [], [], [0], [], [], 0, 0
         if ids:
             yield flush()
 
@@ -205,11 +207,10 @@ def grouped(assign: Callable[..., np.ndarray]):
     """A mapInArrow function from blocks' bodies to their groups' rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, content in zip(batch.column("block").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                *_, words, grams, whole, twice = unpack(content)
-                _, rows = cut_groups(block, assign(words, grams, whole), grams, whole, twice)
-                yield pa.RecordBatch.from_pylist([{"block": block, **r} for r in rows], schema=pa.schema([("block", pa.int64()), ("part", pa.int32()), ("content", pa.binary())]))
+        for block, content in each(batches, "block", "content"):
+            *_, words, grams, whole, twice = unpack(content)
+            _, rows = cut_groups(block, assign(words, grams, whole), grams, whole, twice)
+            yield pa.RecordBatch.from_pylist([{"block": block, **r} for r in rows], schema=pa.schema([("block", pa.int64()), ("part", pa.int32()), ("content", pa.binary())]))
 
     return run
 
@@ -218,25 +219,24 @@ def removed(length: int, assign: Callable[..., np.ndarray]):
     """A mapInArrow function from (content, texts, answers) to the words that repeated runs cover, by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content, texts, answers in zip(*(batch.column(k).to_pylist() for k in ("content", "texts", "answers")), strict=True):
-                ids, ends, starts, index, words, grams, whole, _ = unpack(content)
-                again = answered(np.argsort(assign(words, grams, whole), kind="stable"), answers)[index]
-                out = []
-                for k, text in enumerate(expand(texts).split(b"\n")):
-                    part = slice(ends[k], ends[k + 1])
-                    at = starts[part][again[part]].astype(np.int64)
-                    if not len(at):
-                        continue
-                    found = text.split(b" ")
-                    cover = np.zeros(len(found) + 1, np.int32)
-                    np.add.at(cover, at, 1)
-                    np.add.at(cover, at + length, -1)
-                    gone = np.cumsum(cover[:-1]) > 0
-                    spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                    kept = b" ".join(w for w, g in zip(found, gone.tolist(), strict=True) if not g)
-                    out.append((ids[16 * k : 16 * k + 16].tobytes(), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
-                yield pa.record_batch([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.binary(), pa.int64(), pa.int64(), pa.string()))], names=["text_id", "n_removed", "n_spans", "kept_sha256"])
+        for content, texts, answers in each(batches, "content", "texts", "answers"):
+            ids, ends, starts, index, words, grams, whole, _ = unpack(content)
+            again = answered(np.argsort(assign(words, grams, whole), kind="stable"), answers)[index]
+            out = []
+            for k, text in enumerate(expand(texts).split(b"\n")):
+                part = slice(ends[k], ends[k + 1])
+                at = starts[part][again[part]].astype(np.int64)
+                if not len(at):
+                    continue
+                found = text.split(b" ")
+                cover = np.zeros(len(found) + 1, np.int32)
+                np.add.at(cover, at, 1)
+                np.add.at(cover, at + length, -1)
+                gone = np.cumsum(cover[:-1]) > 0
+                spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+                kept = b" ".join(w for w, g in zip(found, gone.tolist(), strict=True) if not g)
+                out.append((ids[16 * k : 16 * k + 16].tobytes(), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+            yield pa.record_batch([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.binary(), pa.int64(), pa.int64(), pa.string()))], names=["text_id", "n_removed", "n_spans", "kept_sha256"])
 
     return run
 

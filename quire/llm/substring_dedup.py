@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import unpack
-from quire.llm.repeats import Repeats
+from quire.llm.repeats import Repeats, each
 
 #: Buckets of first words.
 FIRST = 4096
@@ -28,11 +28,10 @@ FIRST = 4096
 
 def first_counts(batches):
     """From blocks' bodies to the distinct suffixes by bucket of their first word."""
-    for batch in batches:
-        for content in batch.column("content").to_pylist():
-            *_, words, _, _, _ = unpack(content)
-            counts = np.bincount(words % FIRST, minlength=FIRST)
-            yield pa.record_batch([pa.array(np.flatnonzero(counts)), pa.array(counts[counts > 0])], names=["bucket", "n"])
+    for (content,) in each(batches, "content"):
+        *_, words, _, _, _ = unpack(content)
+        counts = np.bincount(words % FIRST, minlength=FIRST)
+        yield pa.record_batch([pa.array(np.flatnonzero(counts)), pa.array(counts[counts > 0])], names=["bucket", "n"])
 
 
 def plan(counts: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
