@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import chat, decontaminate, media, mixing, near_dedup, substring_dedup, suffix_dedup, token_counts, token_output
+from quire.llm import chat, decontaminate, media, mixing, near_dedup, quality, substring_dedup, suffix_dedup, token_counts, token_output
 from quire.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.with_probe(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return chat.digest_conversations(chat.format_conversations(rows))
@@ -50,6 +54,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
+    "op3_quality": op3_quality,
     "op4_chat": op4_chat,
     "op5_near_dedup": op5_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,

@@ -256,8 +256,9 @@ class Repeats:
         bodies = blocks.where(f"part = {BODY}").select("block", "content").join(answers, "block").select("content", "answers", F.lit(self.groups).alias("groups"))
         found = bodies.mapInArrow(seeds, "doc_id long, text_id binary, places binary")
         found = self.work.table(found.groupBy("text_id").agg(F.min("doc_id").alias("doc_id"), F.first("places").alias("places")), "seeds")
-        wanted = F.broadcast(found) if found.count() <= IDS else found
-        texts = text.join(wanted, text["doc_id"].eqNullSafe(found["doc_id"])).select("text", "text_id", "places")
+        ids = found.select(F.col("doc_id").alias("id")).distinct()
+        wanted = text.join(F.broadcast(ids) if ids.count() <= IDS else ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+        texts = wanted.join(found.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "text_id", "places")
         self.runs = self.work.table(texts.mapInArrow(runs(length), BLOCKS), "runs")
         self.bodies = self.runs.where(f"part = {BODY}").select("block", "content")
 
