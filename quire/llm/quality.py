@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Interner, Workspace, pack, unpack
+from quire.llm.common import Interner, Workspace, pack, planes, unpack, whole
 from quire.llm.repeats import each
 
 ORDER, BITS = 5, 12
@@ -57,6 +57,13 @@ def run_keys(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return keys[place], ends
 
 
+def layout(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct runs of a block's words, which run each place has, where each word's places end, and the runs' order by count shard."""
+    keys, word_ends = run_keys(words)
+    runs, of = np.unique(keys, return_inverse=True)
+    return runs, of, word_ends, np.argsort(runs >> np.uint64(BITS) & np.uint64(MASK), kind="stable")
+
+
 class Block:
     """Documents of one language."""
 
@@ -71,28 +78,25 @@ class Block:
         self.known.append(doc_id is not None)
         self.use.append(use)
         self.ends.append(self.ends[-1] + len(numbers))
-        self.index.append(numbers.astype(np.uint32))
+        self.index.append(numbers)
         self.counts.append(counts.astype(np.uint32))
         self.total += len(found)
 
     def rows(self, block: int) -> pa.RecordBatch:
         index, counts, ends = np.concatenate(self.index), np.concatenate(self.counts), np.array(self.ends, np.int64)
         use = np.repeat(np.array(self.use), np.diff(ends))
-        keys, word_ends = run_keys([w.decode() for w in self.words])
-        runs, of = np.unique(keys, return_inverse=True)
+        runs, of, word_ends, order = layout([w.decode() for w in self.words])
         totals = []
         for kind in (TRUSTED, TOXIC):
             times = np.bincount(index[use == kind], counts[use == kind], len(self.words))
             totals.append(np.bincount(of, np.repeat(times, np.diff(np.append(0, word_ends))), len(runs)).astype(np.uint32))
-        parts = (runs >> np.uint64(BITS) & np.uint64(MASK)).astype(np.int64)
-        order = np.argsort(parts, kind="stable")
-        place = np.empty(len(runs), np.uint32)
-        place[order] = np.arange(len(runs), dtype=np.uint32)
-        names, first = np.unique(parts[order], return_index=True)
+        names, first = np.unique((runs >> np.uint64(BITS) & np.uint64(MASK))[order], return_index=True)
         last = np.append(first[1:], len(runs))
         pair = runs & np.uint64((1 << 2 * BITS) - 1)
         seen = [np.unique(pair[t > 0]) for t in totals]
-        out = [(DOCS, pack(np.array(self.ids, np.int64), np.array(self.known, np.uint8), np.array(self.use, np.uint8), ends, index, counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.uint32), place[of], word_ends)), (PAIRS, pack(*seen))]
+        steps = np.concatenate([np.diff(x, prepend=0) for x in self.index])
+        text = np.frombuffer(b"\n".join(self.words), np.uint8)
+        out = [(DOCS, pack(np.array(self.ids, np.int64), np.array(self.known, np.uint8), np.array(self.use, np.uint8), ends, text, *planes(steps.astype(np.uint32)), *planes(counts))), (PAIRS, pack(*seen))]
         out += [(int(n), pack(*(c[order[a:b]] for c in (runs, *totals)))) for n, a, b in zip(names, first, last, strict=True)]
         return pa.record_batch([pa.array([block] * len(out), pa.int64()), pa.array([self.lang] * len(out)), pa.array([p for p, _ in out], pa.int32()), pa.array([c for _, c in out], pa.binary())], names=["block", "lang", "part", "content"])
 
@@ -172,14 +176,21 @@ def judge(bases: dict[tuple[str, int], dict[int, int]]):
 def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (lang, content, answers) of blocks to a row for each document."""
     for lang, content, answers in each(batches, "lang", "content", "answers"):
-        ids, known, use, ends, index, counts, runs, word_ends = unpack(content)
+        ids, known, use, ends, text, *rest = unpack(content)
+        steps, counts = whole(rest[:4]), whole(rest[4:]).astype(np.float64)
+        run_up = np.concatenate([[0], np.cumsum(steps)])
+        index = run_up[1:] - np.repeat(run_up[ends[:-1]], np.diff(ends))
+        words = text.tobytes().decode().split("\n") if ends[-1] else []
+        _, of, word_ends, order = layout(words)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        runs = place[of]
         parts = [unpack(x["content"]) for x in sorted(answers or [], key=lambda x: x["part"])]
         bits = []
         for model in (0, 1):
             total = np.concatenate([[0.0], np.cumsum(np.concatenate([np.zeros(0, np.float32), *(p[model] for p in parts)])[runs], dtype=np.float64)])
             bits.append(np.diff(total[np.append(0, word_ends)]))
         sizes = np.diff(np.append(0, word_ends))
-        index, counts = index.astype(np.int64), counts.astype(np.float64)
         sums = [np.concatenate([[0.0], np.cumsum(x)]) for x in (bits[0][index] * counts, sizes[index] * counts)]
         spent, length = (s[ends[1:]] - s[ends[:-1]] for s in sums)
         full = ends[1:] > ends[:-1]

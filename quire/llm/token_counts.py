@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Interner, Workspace, compress, expand, pack, unpack
+from quire.llm.common import Interner, Workspace, compress, expand, pack, planes, unpack, whole
 
 BLOCK = "block long, shard int, content binary"
 COUNTED = "block long, shard int, content binary"
@@ -42,15 +42,6 @@ def pre_tokens(chunk: bytes) -> list[str]:
     return PIECES.findall(text.lower()) if SAFE.fullmatch(text) and "<|" not in text else [text]
 
 
-def planes(numbers: np.ndarray) -> list[np.ndarray]:
-    """The four bytes of each number as four arrays, which pack well."""
-    return [(numbers >> np.uint32(8 * k)).astype(np.uint8) for k in range(4)]
-
-
-def whole(parts: list[np.ndarray]) -> np.ndarray:
-    return sum(part.astype(np.int64) << (8 * k) for k, part in enumerate(parts))
-
-
 def build_blocks(shards: int, max_words: int, max_bytes: int):
     """A mapInArrow function from (doc_id, text) to BLOCK rows; a block ends at either limit, but holds whole documents.
 
