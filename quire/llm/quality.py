@@ -36,7 +36,7 @@ MASK = (1 << BITS) - 1
 BLOCKS = "block long, lang string, part int, content binary"
 PAIRS, DOCS = -2, -1
 #: Distinct words and words of a block, and labels up to which they are broadcast.
-WORDS, RUNNING, LABELS = 250_000, 2_000_000, 2_000_000
+WORDS, RUNNING, LABELS = 125_000, 1_000_000, 2_000_000
 SCORES = "doc_id long, lang string, use int, perplexity double, peak double"
 #: What a document is used for.
 NOTHING, TRUSTED, TOXIC, HELD_OUT = 0, 1, 2, 3
@@ -78,7 +78,7 @@ class Block:
         self.known.append(doc_id is not None)
         self.use.append(use)
         self.ends.append(self.ends[-1] + len(numbers))
-        self.index.append(numbers)
+        self.index.append(numbers.astype(np.int32))
         self.counts.append(counts.astype(np.uint32))
         self.total += len(found)
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import Workspace
 
 MANIFEST = "part int, data string, places string, n_docs long, n_tokens long"
-CACHED = 1_500_000
+CACHED = 1_000_000
 _encoders: dict[str, ChunkEncoder] = {}
 
 
@@ -122,9 +122,7 @@ def write_files(root: str, vocabulary: str, end_id: int, length: int, rows: int)
                 ids = np.concatenate([ids, np.zeros(full - real, kind)])
             return pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(ids), length), pa.FixedSizeListArray.from_arrays(pa.array(np.arange(full) < real), length)], schema=schema)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             if file is None:
                 store.create_dir(path.rsplit("/", 1)[0], recursive=True)
                 sinks = store.open_output_stream(f"{path}.arrow"), store.open_output_stream(f"{path}.places.arrow")
