@@ -73,14 +73,16 @@ def dealt_targets(held: dict[str, float], shares: dict[str, float], total: float
 
 def fit(cells: list[tuple[str, str, str, int]], targets: Targets) -> np.ndarray:
     """The probability of each cell (source, lang, topic, tokens)."""
+    if not cells:
+        return np.zeros(0)
     held = np.array([c[3] for c in cells], float)
     margins = []
     for k, shares in enumerate((targets.source, targets.lang, targets.topic)):
         values = sorted({c[k] for c in cells})
-        at = np.array([values.index(c[k]) for c in cells])
-        sums = np.bincount(at, held, len(values)) if len(cells) else np.zeros(0)
+        at = np.array([values.index(c[k]) for c in cells], int)
+        sums = np.bincount(at, held, len(values))
         wanted = dealt_targets(dict(zip(values, sums, strict=True)), shares, targets.keep * held.sum(), targets.other)
-        margins.append((at, np.array([wanted[v] for v in values])))
+        margins.append((at, np.array([wanted[v] for v in values], float)))
     now, correction = held * targets.keep, np.ones(len(cells))
     for _ in range(targets.rounds):
         for at, wanted in margins:

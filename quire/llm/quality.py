@@ -91,7 +91,7 @@ class Block:
             times = np.bincount(index[use == kind], counts[use == kind], len(self.words))
             totals.append(np.bincount(of, np.repeat(times, np.diff(np.append(0, word_ends))), len(runs)).astype(np.uint32))
         names, first = np.unique((runs >> np.uint64(BITS) & np.uint64(MASK))[order], return_index=True)
-        last = np.append(first[1:], len(runs))
+        last = np.append(first, len(runs))[1:]
         pair = runs & np.uint64((1 << 2 * BITS) - 1)
         seen = [np.unique(pair[t > 0]) for t in totals]
         steps = np.concatenate([np.diff(x, prepend=0) for x in self.index])

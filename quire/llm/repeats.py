@@ -77,7 +77,7 @@ def cut_groups(block: int, groups: np.ndarray, *columns: np.ndarray) -> tuple[np
     """The order by group, and a packed row for each group."""
     order = np.argsort(groups, kind="stable")
     names, starts = np.unique(groups[order], return_index=True)
-    ends = np.append(starts[1:], len(groups))
+    ends = np.append(starts, len(groups))[1:]
     return order, [{"part": int(g), "content": pack(*(c[order[a:b]] for c in columns))} for g, a, b in zip(names, starts, ends, strict=True)]
 
 
