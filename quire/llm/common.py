@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import functools
+import gc
 import json
 import struct
 import tempfile
@@ -122,6 +126,27 @@ def whole(parts: list[np.ndarray]) -> np.ndarray:
     return sum(part.astype(np.int64) << (8 * k) for k, part in enumerate(parts))
 
 
+#: What Python workers keep from task to task.
+caches: dict[str, object] = {}
+
+
+def trimmed(function):
+    """A mapInArrow function that drops the worker's caches first and afterwards gives free memory back to the system.
+
+    Workers are used again by other operators and stages, which would otherwise hold the sum of all peaks.
+    """
+
+    @functools.wraps(function)
+    def run(batches):
+        caches.clear()
+        yield from function(batches)
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 class Interner(dict):
     """Numbers its keys in the order in which they are first looked up."""
 

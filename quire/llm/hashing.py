@@ -14,7 +14,7 @@ EMPTY = np.uint64(2**64 - 1)
 class WordHashes(dict):
     """Hashes of words; forgets them when it holds too many, as they are cheap to make again."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 200_000):
         self.most = most
 
     def __missing__(self, word: bytes) -> int:

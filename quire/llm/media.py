@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.common import trimmed
+
 WIDTH, ROWS, RUN = 64, 1024, 254
 GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
 MEDIA = "doc_id long, n_bytes long, media binary"
@@ -223,6 +225,7 @@ def light_histogram(rgb: np.ndarray, bins: int = 16) -> np.ndarray:
     return np.bincount(light * bins // 256, minlength=bins)
 
 
+@trimmed
 def media_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = pc.cast(batch.column(1), pa.binary())
@@ -232,6 +235,7 @@ def media_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([batch.column(0).slice(at, 256), pa.array([len(t) for t in part], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
 
+@trimmed
 def frame_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for doc_id, data in zip(batch.column("doc_id").to_pylist(), batch.column("media").to_pylist(), strict=True):
@@ -254,6 +258,7 @@ def read_back(data: bytes) -> tuple[bytes, str]:
     return b"".join(parts), f"frames={len(frames)};ms={shown};light={','.join(map(str, counts))}"
 
 
+@trimmed
 def digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in RESULT.split(", ")]
     for batch in batches:

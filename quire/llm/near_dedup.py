@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Workspace, safe_id, shown_id
+from quire.llm.common import Workspace, safe_id, shown_id, trimmed
 from quire.llm.components import components, follow
 from quire.llm.hashing import WordHashes, band_hashes, shingles, super_min_hash
 
@@ -45,6 +45,7 @@ def sets_of(hashes: WordHashes, texts: list[bytes | None], words: int) -> list[n
 def sign(words: int):
     """A mapInArrow function from (doc_id, text) to SIGNED rows."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -69,6 +70,7 @@ def sign(words: int):
 def verify(words: int, percent: int):
     """A mapInArrow function from (a, b, text_a, text_b) to (a, b, linked)."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, known = WordHashes(), {}
 

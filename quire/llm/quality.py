@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Interner, Workspace, pack, planes, unpack, whole
+from quire.llm.common import Interner, Workspace, pack, planes, unpack, whole, trimmed
 from quire.llm.repeats import each
 
 ORDER, BITS = 5, 12
@@ -101,6 +101,7 @@ class Block:
         return pa.record_batch([pa.array([block] * len(out), pa.int64()), pa.array([self.lang] * len(out)), pa.array([p for p, _ in out], pa.int32()), pa.array([c for _, c in out], pa.binary())], names=["block", "lang", "part", "content"])
 
 
+@trimmed
 def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number, open_blocks = TaskContext.get().partitionId() << 32, {}
     for doc_id, text, lang, use in each(batches, "doc_id", "text", "lang", "use"):
@@ -173,6 +174,7 @@ def judge(bases: dict[tuple[str, int], dict[int, int]]):
     return run
 
 
+@trimmed
 def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (lang, content, answers) of blocks to a row for each document."""
     for lang, content, answers in each(batches, "lang", "content", "answers"):

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Workspace, compress, expand, pack, unpack
+from quire.llm.common import Workspace, compress, expand, pack, unpack, trimmed
 from quire.llm.hashing import WordHashes, run_hashes
 
 GRAM = 8
@@ -116,6 +116,7 @@ def seen_twice(keys: np.ndarray, twice: np.ndarray) -> np.ndarray:
 def scan(length: int, groups: int):
     """A mapInArrow function from (doc_id, text) to blocks of documents with their minimisers."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, block = WordHashes(200_000), TaskContext.get().partitionId() << 32
         docs, places, keys, words, size = [], [], [], 0, 0
@@ -147,6 +148,7 @@ def scan(length: int, groups: int):
     return run
 
 
+@trimmed
 def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (content, answers) of blocks to the documents that hold repeated minimisers, with these places."""
     for content, answers, count in each(batches, "content", "answers", "groups"):
@@ -167,6 +169,7 @@ def runs(length: int):
     the hashes of its first word, its first GRAM words and all of it, and whether it stands twice in the block.
     """
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, block = WordHashes(200_000), TaskContext.get().partitionId() << 32
         texts, ids, ends, starts, parts, count, size = [], [], [0], [], [], 0, 0
@@ -206,6 +209,7 @@ def runs(length: int):
 def grouped(assign: Callable[..., np.ndarray]):
     """A mapInArrow function from blocks' bodies to their groups' rows."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, content in each(batches, "block", "content"):
             *_, words, grams, whole, twice = unpack(content)
@@ -218,6 +222,7 @@ def grouped(assign: Callable[..., np.ndarray]):
 def removed(length: int, assign: Callable[..., np.ndarray]):
     """A mapInArrow function from (content, texts, answers) to the words that repeated runs cover, by document."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for content, texts, answers in each(batches, "content", "texts", "answers"):
             ids, ends, starts, index, words, grams, whole, _ = unpack(content)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Interner, Workspace, compress, expand, pack, planes, unpack, whole
+from quire.llm.common import Interner, Workspace, compress, expand, pack, planes, unpack, whole, trimmed
 
 BLOCK = "block long, shard int, content binary"
 COUNTED = "block long, shard int, content binary"
@@ -48,6 +48,7 @@ def build_blocks(shards: int, max_words: int, max_bytes: int):
     Row -1 of a block has its documents; row s has the pre-tokens of shard s of its dictionary, one a line.
     """
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("content", pa.binary())])
         block = TaskContext.get().partitionId() << 32
@@ -100,6 +101,7 @@ def count_pieces(vocabulary: str):
     Rows come sorted by shard; each distinct pre-token of a shard is given to the library once.
     """
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -136,6 +138,7 @@ def piece_counter(vocabulary: str):
 def sum_documents(limit: int):
     """A mapInArrow function from (docs, pieces by shard) to a row for each document."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for docs, found in zip(batch.column("docs").to_pylist(), batch.column("found").to_pylist(), strict=True):

@@ -28,11 +28,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import Workspace
+from quire.llm.common import Workspace, caches, trimmed
 
 MANIFEST = "part int, data string, places string, n_docs long, n_tokens long"
 CACHED = 1_000_000
-_encoders: dict[str, ChunkEncoder] = {}
 
 
 class ChunkEncoder:
@@ -88,9 +87,9 @@ class ChunkEncoder:
 
 
 def encoder(vocabulary: str) -> ChunkEncoder:
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = ChunkEncoder(vocabulary)
-    return _encoders[vocabulary]
+    if vocabulary not in caches:
+        caches[vocabulary] = ChunkEncoder(vocabulary)
+    return caches[vocabulary]
 
 
 def opened(uri: str):
@@ -189,6 +188,7 @@ def read_places(uri: str) -> Iterator[pa.RecordBatch]:
             yield reader.get_batch(k)
 
 
+@trimmed
 def read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From manifest rows (data, places, base) to a row for each document, read from the files."""
     for batch in batches:
