@@ -77,6 +77,8 @@ def visually_gated() -> Column:
 def with_strata(blocks: DataFrame) -> DataFrame:
     """blocks with stratum (null: cannot carry a landmark) and scan, the landmark found in it."""
     stratum = F.when(F.col("type") == "heading", F.concat(F.lit("heading:"), F.coalesce("heading_level", F.lit(0)))).when(visually_gated(), "paragraph_visual")
+    if "role" in blocks.columns:
+        stratum = F.when(F.col("role").isNull(), stratum)
     rows = blocks.withColumn("stratum", stratum)
     return rows.withColumn("scan", F.when(F.col("stratum").isNotNull(), match_landmark_lines(F.col("text"))))
 
@@ -92,23 +94,24 @@ def dominant_stratum(counts: DataFrame) -> DataFrame:
 
 
 def classify_landmarks(rows: DataFrame) -> DataFrame:
-    """role, number, title and subtype: parts in any stratum, chapters in the dominant one, unnumbered ones there or if gated.
+    """role, number, title, subtype and dominant: parts in any stratum, chapters in the dominant one, unnumbered ones there or if gated.
 
-    The dominant stratum is a window over the document, which the rows are partitioned by already.
+    A role that a row has stays, with its subtype. The dominant stratum is a window over the document, which the rows are partitioned by already.
     """
     votes = F.when(F.col("scan.match.kind") == "chapter", 1)
     whole = Window.partitionBy("doc_id", "stratum")
     rows = rows.withColumn("_n", F.count(votes).over(whole)).withColumn("_first", F.min(F.when(votes.isNotNull(), F.col("pos"))).over(whole))
     best = F.min_by("stratum", F.when(F.col("_n") > 0, F.struct(-F.col("_n"), F.col("_first"), F.col("stratum")))).over(Window.partitionBy("doc_id"))
-    rows = rows.withColumn("_in", F.coalesce(F.col("stratum") == best, F.lit(False)))
+    rows = rows.withColumn("dominant", best).withColumn("_in", F.coalesce(F.col("stratum") == F.col("dominant"), F.lit(False)))
     match = F.col("scan.match")
     kind = match["kind"]
     role = F.when(kind == "part", "part_divider").when((kind == "chapter") & F.col("_in"), "chapter_heading").when((kind == "unnumbered") & (F.col("_in") | visually_gated()), "chapter_heading")
     label = F.when(kind == "unnumbered", F.coalesce(match["title"], normalize_ws(F.col("text")))).otherwise(F.coalesce(match["title"], F.concat_ws(" ", F.initcap(match["word"]), match["display"])))
     title = F.when(kind == "chapter", F.array_join(F.concat(F.array(label), F.col("scan.captions")), "\n")).otherwise(label)
-    rows = rows.withColumn("role", role)
-    held = F.col("role").isNotNull()
-    return rows.withColumns({"number": F.when(held, match["ordinal"]), "title": F.when(held, title), "subtype": F.when(held, match["subtype"]), "section_word": F.when(held, F.rtrim(F.lower(match["word"]), F.lit(".")))}).drop("_n", "_first", "_in")
+    earlier = {name: F.col(name) if name in rows.columns else F.lit(None).cast("string") for name in ("role", "subtype")}
+    rows = rows.withColumns({"_role": role, "role": F.coalesce(earlier["role"], role), "subtype": earlier["subtype"]})
+    held = F.col("_role").isNotNull()
+    return rows.withColumns({"number": F.when(held, match["ordinal"]), "title": F.when(held, title), "subtype": F.when(held, match["subtype"]).otherwise(F.col("subtype")), "section_word": F.when(held, F.rtrim(F.lower(match["word"]), F.lit(".")))}).drop("_n", "_first", "_in", "_role")
 
 
 def default_roles(rows: DataFrame) -> DataFrame:
