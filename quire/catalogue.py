@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire import structure_queries
+from quire import record_queries, structure_queries
 from quire.functions import ordinals, text
 from quire.operators import blocks, detect, service
 from quire.plans import carriers
@@ -293,5 +293,6 @@ def fault_threshold(spark, sf_dir):
     counts = _table("lineitem")(spark, sf_dir).groupBy("l_orderkey").agg(F.count_if(F.col("l_returnflag") == "R").alias("c_faults"), F.count_if((F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 7)).alias("r_faults"))
     return counts.withColumn("state", service.final_state(F.col("c_faults"), F.col("r_faults")))
 
-QUERIES |= structure_queries.QUERIES
-ORACLE |= structure_queries.ORACLE
+for _more in (structure_queries, record_queries):
+    QUERIES |= _more.QUERIES
+    ORACLE |= _more.ORACLE

@@ -129,58 +129,71 @@ def contents_entries(rows: DataFrame) -> DataFrame:
 # Landmarks without style
 
 
+def _with_candidates(blocks: DataFrame) -> DataFrame:
+    """Rows with _mark and _cluster, the size of a candidate's cluster (null: no candidate)."""
+    rows = prepared(blocks)
+    bare = F.col("dominant").isNull() if "dominant" in rows.columns else F.lit(True)
+    words = word_count(F.coalesce("text", F.lit("")))
+    rows = rows.withColumns({"_words": words, "_bare": bare & ~F.bool_or(_landmark()).over(_document())})
+    rows = rows.withColumn("_upto", F.sum("_words").over(so_far()))
+    rows = rows.withColumn("_mark", F.when(F.col("_bare") & _free() & _content() & (F.length("norm") <= ENTRY), match_landmark(F.col("norm"))))
+    rows = rows.withColumn("_is", F.coalesce((F.col("_mark.kind") != "unnumbered") & F.col("_mark.ordinal").isNotNull(), F.lit(False)))
+    window = _among(F.col("_is"))
+    between = F.col("_upto") - F.col("_words") - F.lag("_upto").over(window)
+    rows = rows.withColumn("_apart", F.coalesce((between >= APART).cast("long"), F.lit(1)))
+    rows = rows.withColumn("_island", F.sum("_apart").over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    size = F.count("*").over(Window.partitionBy("doc_id", "_is", "_island"))
+    rows = rows.withColumns({"_cluster": F.when(F.col("_is"), size), "_kind": F.col("_mark.kind"), "_word": F.rtrim(F.lower("_mark.word"), F.lit("."))})
+    return rows.drop("_words", "_bare", "_upto", "_is", "_apart", "_island")
+
+
+def _with_decisions(rows: DataFrame) -> DataFrame:
+    """Rows with _decision: contents, excluded, promoted or left; null for rows without a _cluster."""
+    rows = rows.withColumn("_alone", F.coalesce(F.col("_cluster") == 1, F.lit(False)))
+    ahead = _among(F.col("_alone")).rowsBetween(1, Window.unboundedFollowing)
+    rows = rows.withColumn("_part", F.min(F.when(F.col("_kind") == "part", F.col("pos"))).over(ahead))
+    word = Window.partitionBy("doc_id", "_alone", "_kind", "_word")
+    by = word.orderBy("pos")
+    again = F.coalesce(F.col("_mark.ordinal") <= F.lag("_mark.ordinal").over(by), F.lit(False))
+    rows = rows.withColumns({"_again": again, "_before": F.lag("_part").over(by)})
+    rows = rows.withColumn("_pivot", F.when(F.col("_again") & (F.col("_kind") == "chapter") & (F.col("_before") < F.col("pos")), F.col("_before")))
+    rows = rows.withColumn("_whole", F.col("_alone") & (F.count("*").over(word) >= ENTRIES) & F.bool_and(~F.col("_again") | F.col("_pivot").isNotNull()).over(word))
+    used = F.collect_set(F.when(F.col("_whole"), F.col("_pivot"))).over(_document())
+    rows = rows.withColumn("_used", (F.col("_kind") == "part") & F.array_contains(used, F.col("pos")))
+    decision = F.when(F.col("_cluster") >= ENTRIES, "contents").when(F.col("_cluster") > 1, "excluded").when(F.col("_whole") | F.col("_used"), "promoted").when(F.col("_alone"), "left")
+    return rows.withColumn("_decision", decision).drop("_alone", "_part", "_again", "_before", "_pivot", "_whole", "_used")
+
+
 def pattern_candidates(blocks: DataFrame) -> DataFrame:
-    """Whole-text labels of a document without landmarks: pos, kind, word, number, cluster (its size), of all role-less blocks.
+    """doc_id, pos, kind, word, number, cluster (its size) of whole-text labels in documents without landmarks.
 
-    Candidates fewer than 50 words apart form a cluster. Needs the columns of with_strata and its dominant stratum as dominant, where
-    there are any.
+    Candidates fewer than 50 words apart form a cluster. A column dominant, where there is one, has to be null.
     """
-    rows = prepared(blocks)
-    bare = F.col("dominant").isNull() if "dominant" in rows.columns else F.lit(True)
-    open_ = bare & ~F.bool_or(_landmark()).over(_document())
-    rows = rows.withColumns({"_open": open_, "_upto": F.sum(word_count(F.coalesce("text", F.lit("")))).over(so_far()), "_words": word_count(F.coalesce("text", F.lit("")))})
-    rows = rows.withColumn("_mark", F.when(F.col("_open") & _free() & _content() & (F.length("norm") <= ENTRY), match_landmark(F.col("norm"))))
-    found = rows.where("_mark is not null and _mark.kind <> 'unnumbered' and _mark.ordinal is not null")
-    between = F.col("_upto") - F.col("_words") - F.lag("_upto").over(ordered())
-    found = found.withColumn("_apart", F.coalesce((between >= APART).cast("long"), F.lit(1)))
-    found = found.withColumn("_cluster", F.sum("_apart").over(so_far()))
-    return found.select("doc_id", "pos", F.col("_mark.kind").alias("kind"), F.rtrim(F.lower("_mark.word"), F.lit(".")).alias("word"), F.col("_mark.ordinal").cast("long").alias("number"), F.count("*").over(Window.partitionBy("doc_id", "_cluster")).alias("cluster"))
+    found = _with_candidates(blocks).where("_cluster is not null")
+    return found.select("doc_id", "pos", F.col("_kind").alias("kind"), F.col("_word").alias("word"), F.col("_mark.ordinal").cast("long").alias("number"), F.col("_cluster").alias("cluster"))
 
 
-def pattern_landmarks(candidates: DataFrame) -> DataFrame:
+def pattern_landmarks(blocks: DataFrame) -> DataFrame:
     """doc_id, pos, kind, word, number, decision (contents, excluded, promoted or left) of candidates.
 
     A word's sequence is coherent if its numbers rise; a chapter word's may start again after a part that lies between, which is then
     its pivot. Coherent words of three or more labels are promoted, and parts that are pivots of those.
     """
-    alone = candidates.withColumn("_alone", F.col("cluster") == 1)
-    ahead = _among(F.col("_alone")).rowsBetween(1, Window.unboundedFollowing)
-    rows = alone.withColumn("_part", F.min(F.when(F.col("kind") == "part", F.col("pos"))).over(ahead))
-    word = Window.partitionBy("doc_id", "_alone", "kind", "word")
-    by = word.orderBy("pos")
-    again = F.col("number") <= F.lag("number").over(by)
-    rows = rows.withColumn("_again", F.coalesce(again, F.lit(False))).withColumn("_before", F.lag("_part").over(by))
-    rows = rows.withColumn("_pivot", F.when(F.col("_again") & (F.col("kind") == "chapter") & (F.col("_before") < F.col("pos")), F.col("_before")))
-    rows = rows.withColumn("_whole", (F.count("*").over(word) >= ENTRIES) & F.bool_and(~F.col("_again") | F.col("_pivot").isNotNull()).over(word))
-    used = F.collect_set(F.when(F.col("_alone") & F.col("_whole"), F.col("_pivot"))).over(Window.partitionBy("doc_id", "_alone"))
-    pivot = (F.col("kind") == "part") & F.array_contains(used, F.col("pos"))
-    decision = F.when(F.col("cluster") >= ENTRIES, "contents").when(F.col("cluster") > 1, "excluded").when(F.col("_whole") | pivot, "promoted").otherwise("left")
-    return rows.select("doc_id", "pos", "kind", "word", "number", decision.alias("decision"))
+    found = _with_decisions(_with_candidates(blocks)).where("_decision is not null")
+    return found.select("doc_id", "pos", F.col("_kind").alias("kind"), F.col("_word").alias("word"), F.col("_mark.ordinal").cast("long").alias("number"), F.col("_decision").alias("decision"))
 
 
-def promote_patterns(rows: DataFrame) -> DataFrame:
+def promote_patterns(blocks: DataFrame) -> DataFrame:
     """Gives roles to pattern-only landmarks; pattern_word names the word class of each promoted one."""
-    rows = prepared(rows)
-    found = pattern_landmarks(pattern_candidates(rows)).select("doc_id", "pos", "decision", F.col("kind").alias("_kind"), F.col("word").alias("_word"), F.col("number").alias("_number"))
-    rows = rows.join(found, ["doc_id", "pos"], "left")
-    promoted = F.col("decision") == "promoted"
-    role = F.when(promoted, F.when(F.col("_kind") == "part", "part_divider").otherwise("chapter_heading")).when(F.col("decision") == "contents", "structural")
-    mark = match_landmark(F.col("norm"))
-    title = F.when(promoted, F.coalesce(mark["title"], F.concat_ws(" ", F.initcap(mark["word"]), mark["display"])))
-    columns = {"role": F.coalesce("role", role), "subtype": F.when(F.col("decision") == "contents", "source_toc").otherwise(F.col("subtype")), "pattern_word": F.when(promoted, F.col("_word"))}
+    rows = _with_decisions(_with_candidates(blocks))
+    promoted, mark = F.coalesce(F.col("_decision") == "promoted", F.lit(False)), F.col("_mark")
+    contents = F.coalesce(F.col("_decision") == "contents", F.lit(False))
+    role = F.when(promoted, F.when(F.col("_kind") == "part", "part_divider").otherwise("chapter_heading")).when(contents, "structural")
+    columns = {"role": F.coalesce("role", role), "subtype": F.when(contents, "source_toc").otherwise(F.col("subtype")), "pattern_word": F.when(promoted, F.col("_word"))}
     if "number" in rows.columns:
-        columns |= {"number": F.when(promoted, F.col("_number").cast("int")).otherwise(F.col("number")), "title": F.coalesce("title", title), "section_word": F.when(promoted, F.col("_word")).otherwise(F.col("section_word"))}
-    return rows.withColumns(columns).drop("decision", "_kind", "_word", "_number")
+        title = F.coalesce(mark["title"], F.concat_ws(" ", F.initcap(mark["word"]), mark["display"]))
+        columns |= {"number": F.when(promoted, mark["ordinal"]).otherwise(F.col("number")), "title": F.when(promoted, title).otherwise(F.col("title")), "section_word": F.when(promoted, F.col("_word")).otherwise(F.col("section_word"))}
+    return rows.withColumns(columns).drop("_mark", "_cluster", "_kind", "_word", "_decision")
 
 
 def pattern_warnings(rows: DataFrame) -> DataFrame:

@@ -145,7 +145,7 @@ dec AS MATERIALIZED (SELECT c.doc_id, c.pos, c.kind, c.word, c.number, CASE WHEN
 
 @query("c008_promote", f"WITH {_SEQUENCE} SELECT * FROM dec")
 def c008_promote(spark, sf_dir):
-    return structure.pattern_landmarks(structure.pattern_candidates(_books(spark, sf_dir)))
+    return structure.pattern_landmarks(_books(spark, sf_dir))
 
 
 @query("v006_pattern_only", f"WITH {_SEQUENCE} SELECT doc_id, count(*) AS landmarks, string_agg(DISTINCT word, ',' ORDER BY word) AS classes FROM dec WHERE decision = 'promoted' GROUP BY doc_id")
