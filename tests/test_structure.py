@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import blocks, structure
@@ -14,15 +15,12 @@ def H(level, text, *tags):  # noqa: N802
     return ("heading", level, text, list(tags))
 
 
-def frame(spark, rows):
-    return spark.createDataFrame([(1, k, *row) for k, row in enumerate(rows)], SCHEMA)
+def frame(spark, rows, doc_id=1):
+    return spark.createDataFrame([(doc_id, k, *row) for k, row in enumerate(rows)], SCHEMA)
 
 
-def roles(spark, rows):
-    return {r.pos: (r.role, r.subtype, r.number) for r in structure.classify(frame(spark, rows)).collect()}
-
-
-def test_plain_book_is_promoted_by_pattern(spark):
+def plain_book():
+    """Letters, then two volumes whose chapters start again, without any style."""
     rows = [P("A tale")]
     for k in range(1, 5):
         rows += [P(f"Letter {k}"), P(BODY), P(BODY)]
@@ -30,22 +28,53 @@ def test_plain_book_is_promoted_by_pattern(spark):
         rows += [P(f"Volume {part + 1}"), P(BODY)]
         for k in range(1, 4):
             rows += [P(f"Chapter {k}"), P(BODY), P("as said in Chapter 1, it rained")]
-    found = roles(spark, rows)
-    assert [found[k][0] for k in (1, 4, 7, 10)] == ["chapter_heading"] * 4
-    assert sum(r[0] == "chapter_heading" for r in found.values()) == 10
-    assert [p for p, r in found.items() if r[0] == "part_divider"] == [24]  # the one that chapters start again after
-    (warned,) = structure.pattern_warnings(structure.promote_patterns(frame(spark, rows))).collect()
-    assert (warned.landmarks, warned.classes) == (11, "chapter,letter,volume")
+    return rows
+
+
+BOOKS = {
+    "plain": plain_book(),
+    "incoherent": [x for k in (1, 5, 3, 9) for x in (P(f"Chapter {k}"), P(BODY))],
+    "few": [x for k in (1, 2) for x in (P(f"Chapter {k}"), P(BODY))],
+    "late_cluster": [P(BODY)] * 85 + [P(f"Chapter {k}") for k in range(1, 6)],
+    "front": [P("My Book", "centered", "large_font"), P("a novel", "centered"), P("By Ann Lee"), P("", "empty_line"), P("For everyone who ever waited", "centered"), P("“All is well”", "centered"), P("— Someone"), H(1, "Chapter 1"), P(BODY)],
+    "subtitles": [H(2, "Stave One"), H(4, "Marley's Ghost"), H(2, "Stave Two"), P("", "empty_line"), P("an italic line", "italic"), H(2, "Stave Three"), P("* * *", "centered"), H(2, "Stave Four"), P("plain and short")],
+    "headings": [H(1, "Frankenstein"), H(1, "A Note on the text"), H(1, "Chapter 1"), P(BODY), H(1, "Acknowledgments"), H(1, "Whatever")],
+    "null": [("paragraph", None, None, None)],
+}
+
+
+@pytest.fixture(scope="module")
+def classified(spark):
+    names = list(BOOKS)
+    rows = spark.createDataFrame([(names.index(name), k, *row) for name, book in BOOKS.items() for k, row in enumerate(book)], SCHEMA)
+    return structure.classify(rows).cache()
+
+
+def of(classified, name):
+    return classified.where(F.col("doc_id") == list(BOOKS).index(name))
+
+
+def roles(classified, name):
+    return {r.pos: r for r in of(classified, name).collect()}
+
+
+def test_plain_book_is_promoted_by_pattern(classified):
+    found = roles(classified, "plain")
+    assert [found[k].role for k in (1, 4, 7, 10)] == ["chapter_heading"] * 4
+    assert sum(r.role == "chapter_heading" for r in found.values()) == 10
+    assert [p for p, r in found.items() if r.role == "part_divider"] == [24]  # the one that chapters start again after
+    (warned,) = structure.pattern_warnings(classified).collect()
+    assert (warned.doc_id, warned.landmarks, warned.classes) == (0, 11, "chapter,letter,volume")
 
 
-def test_incoherent_or_few_labels_stay(spark):
-    assert not any(r[0] == "chapter_heading" for r in roles(spark, [x for k in (1, 5, 3, 9) for x in (P(f"Chapter {k}"), P(BODY))]).values())
-    assert not any(r[0] == "chapter_heading" for r in roles(spark, [x for k in (1, 2) for x in (P(f"Chapter {k}"), P(BODY))]).values())
+@pytest.mark.parametrize("name", ["incoherent", "few"])
+def test_incoherent_or_few_labels_stay(classified, name):
+    assert not any(r.role == "chapter_heading" for r in roles(classified, name).values())
 
 
-def test_late_cluster_is_contents(spark):
-    found = roles(spark, [P(BODY)] * 85 + [P(f"Chapter {k}") for k in range(1, 6)])
-    assert [found[k][:2] for k in range(85, 90)] == [("structural", "source_toc")] * 5
+def test_late_cluster_is_contents(classified):
+    found = roles(classified, "late_cluster")
+    assert [(found[k].role, found[k].subtype) for k in range(85, 90)] == [("structural", "source_toc")] * 5
 
 
 def test_contents_block_label_and_prose(spark):
@@ -64,31 +93,28 @@ def test_repeated_titles_need_confirmation_if_any_has_one(spark):
     assert [(r.pos, r.part_number) for r in found if r.role == "part_divider"] == [(0, 1), (4, 2)]
 
 
-def test_front_shapes_and_title_page(spark):
-    rows = [P("My Book", "centered", "large_font"), P("a novel", "centered"), P("By Ann Lee"), P("", "empty_line"), P("For everyone who ever waited", "centered"), P("“All is well”", "centered"), P("— Someone"), H(1, "Chapter 1"), P(BODY)]
-    got = structure.classify(frame(spark, rows))
-    found = {r.pos: (r.role, r.subtype, r.part) for r in got.collect()}
-    assert [found[k][2] for k in (0, 1, 2)] == ["title", "subtitle", "author"]
-    assert found[4][:2] == ("front_matter", "dedication") and found[5][:2] == ("front_matter", "epigraph")
-    (meta,) = structure.title_meta(got).collect()
+def test_front_shapes_and_title_page(classified):
+    found = roles(classified, "front")
+    assert [found[k].part for k in (0, 1, 2)] == ["title", "subtitle", "author"]
+    assert [(found[k].role, found[k].subtype) for k in (4, 5)] == [("front_matter", "dedication"), ("front_matter", "epigraph")]
+    (meta,) = structure.title_meta(of(classified, "front")).collect()
     assert (meta.title, meta.subtitle, meta.author, meta.mechanism) == ("My Book", "a novel", "By Ann Lee", "tag path")
-    sections = structure.matter_sections(got).orderBy("first_pos").collect()
+    sections = structure.matter_sections(of(classified, "front")).orderBy("first_pos").collect()
     assert [(r["class"], r.first_pos, r.last_pos) for r in sections] == [("title_page", 0, 2), ("dedication", 4, 4), ("epigraph", 5, 5)]
 
 
-def test_subtitles(spark):
-    rows = [H(2, "Stave One"), H(4, "Marley's Ghost"), H(2, "Stave Two"), P("", "empty_line"), P("an italic line", "italic"), H(2, "Stave Three"), P("* * *", "centered"), H(2, "Stave Four"), P("plain and short")]
-    assert [r.pos for r in structure.classify(frame(spark, rows)).where("role = 'chapter_subtitle'").orderBy("pos").collect()] == [1, 4]
+def test_subtitles(classified):
+    assert [k for k, r in sorted(roles(classified, "subtitles").items()) if r.role == "chapter_subtitle"] == [1, 4]
 
 
-def test_headings_before_and_after(spark):
-    rows = [H(1, "Frankenstein"), H(1, "A Note on the text"), H(1, "Chapter 1"), P(BODY), H(1, "Acknowledgments"), H(1, "Whatever")]
-    found = roles(spark, rows)
-    assert found[0][0] != "front_matter" and found[1][:2] == ("front_matter", "note_to_reader")
-    assert (found[4][:2], found[5][:2]) == (("back_matter", "acknowledgments"), ("back_matter", "generic"))
+def test_headings_before_and_after(classified):
+    found = roles(classified, "headings")
+    assert found[0].role != "front_matter" and found[1].subtype == "note_to_reader"
+    assert [(found[k].role, found[k].subtype) for k in (4, 5)] == [("back_matter", "acknowledgments"), ("back_matter", "generic")]
 
 
-def test_nothing_and_nulls(spark):
-    assert structure.classify(frame(spark, [])).count() == 0
-    odd = frame(spark, [P("x")]).withColumns({"text": F.lit(None).cast("string"), "tags": F.lit(None).cast("array<string>")})
-    assert [r.role for r in structure.classify(odd).collect()] == ["body_paragraph"]
+def test_nothing_and_nulls(spark, classified):
+    assert roles(classified, "null")[0].role == "body_paragraph"
+    empty = frame(spark, [])
+    for rule in (structure.source_contents, structure.promote_patterns, structure.front_shapes, structure.title_page):
+        assert rule(empty).count() == 0
