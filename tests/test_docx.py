@@ -99,3 +99,10 @@ def test_scan_rejects_what_it_cannot_read(spark, tmp_path):
     assert sorted((r.doc_id.rsplit("/", 1)[1], r.pos, r.text) for r in rows if r.error is None) == [("good.docx", 0, "Chapter 1"), ("good.docx", 1, "Body")]
     errors = {r.doc_id.rsplit("/", 1)[1]: r.error for r in rows if r.error}
     assert set(errors) == {"bad.docx", "other.PDF"} and errors["other.PDF"].endswith("Received: pdf.") and errors["bad.docx"].startswith("BadZipFile")
+
+
+def test_scan_leaves_large_files_unread(spark, tmp_path, monkeypatch):
+    (tmp_path / "large.docx").write_bytes(archive(p(r("Body"))))
+    monkeypatch.setattr(docx, "LIMIT", 10)
+    (row,) = docx.scan_docx(spark, str(tmp_path)).collect()
+    assert (row.error, row.text) == ("file too large", None)
