@@ -5,7 +5,7 @@ bands of 4 miss a pair of similarity 0.75 with probability 5e-6. A bucket first
 being verified on both full sets. Then only buckets that still hold several components are looked at again: their members
 outside the largest component meet all members, block by block. A task tests pairs of different components by falling
 agreement of their signatures, on the full sets, and joins what it links at once, so it returns a spanning set of links and
-a group of copies costs about as many tests as it has members. A pair is tested in the first band that it shares, and only
+a group of copies costs about as many tests as it has members. A pair is tested in the first band whose full hash it shares, and only
 if its sizes allow a link and the estimate is at least 0.60, four standard errors below 0.75.
 
 Cases: null and empty texts have empty sets and are kept and linked with nothing; fewer words than a shingle make one shingle;
@@ -108,6 +108,7 @@ def link_block(words: int, percent: int):
         ids, roots, sides, bands, sizes = (table.column(k).to_numpy() for k in ("rep", "root", "side", "band", "n_shingles"))
         texts = table.column("text")
         marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, SIZE)
+        hashes_of = np.array(table.column("bands").to_pylist(), np.int64).reshape(-1, SIZE // ROWS)
         parent: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -124,11 +125,10 @@ def link_block(words: int, percent: int):
         first, second = np.flatnonzero(sides == 1), np.flatnonzero(sides == 2)
         candidates, weights = [], []
         for k in first:
-            same = marks[second] == marks[k]
-            agree = same.sum(axis=1)
+            agree = (marks[second] == marks[k]).sum(axis=1)
             agree[(roots[second] == roots[k]) | (100 * np.minimum(sizes[second], sizes[k]) < percent * np.maximum(sizes[second], sizes[k]))] = 0
             near = np.flatnonzero(agree >= LEAST)
-            near = near[same[near].reshape(len(near), SIZE // ROWS, ROWS).all(axis=2).argmax(axis=1) == bands[k]]
+            near = near[(hashes_of[second[near]] == hashes_of[k]).argmax(axis=1) == bands[k]]
             candidates.append(np.stack([np.full(len(near), k), second[near]], axis=1))
             weights.append(agree[near])
         pairs = np.concatenate([np.zeros((0, 2), np.int64), *candidates])
@@ -163,7 +163,7 @@ class NearGroups:
         reps = self.work.table(reps, "reps")
         known = F.broadcast(reps) if reps.count() <= IDS else reps
         texts = text.join(known.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text"))
-        self.texts = self.work.table(texts.join(heads.select("rep", "n_shingles", "marks"), "rep"), "texts")
+        self.texts = self.work.table(texts.join(heads.select("rep", "n_shingles", "bands", "marks"), "rep"), "texts")
         self.roots = self._resolve()
 
     def _resolve(self) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -215,6 +216,18 @@ def test_near_dedup(spark, odd):
     assert {k: (r.n_shingles, r.component_id, r.kept) for k, r in found.items()} == {k: (len(s), find(k), find(k) == k) for k, s in sets.items()}
 
 
+def test_bytes_that_agree_by_chance_do_not_hide_a_pair():
+    """The marks agree in bands 0 to 19, the full hashes only from band 9 on: the pair is tested in bucket 9, and only there."""
+    text = " ".join(f"w{k}" for k in range(50))
+    near, marks = text.replace("w49", "v49"), [bytes(128), bytes(80) + bytes([1] * 48)]
+    bands = [list(range(32)), [100 + k if k < 9 else k for k in range(32)]]
+    found = []
+    for band in (9, 10):
+        rows = {"bucket": [band] * 2, "low": [0] * 2, "high": [0] * 2, "band": [band] * 2, "rep": [1, 2], "root": [1, 2], "side": [1, 2], "text": [text, near], "n_shingles": [46, 46], "bands": bands, "marks": marks}
+        found.append(near_dedup.link_block(5, 75)(pa.table(rows)).to_pylist())
+    assert found == [[{"a": 1, "b": 2}], []]
+
+
 def test_super_min_hash_estimates():
     rng, errors = np.random.default_rng(1), []
     for _ in range(100):
