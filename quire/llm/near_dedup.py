@@ -1,6 +1,6 @@
 """MinHash near-dedup: SuperMinHash signatures, banding, verification on full shingle sets, union-find groups.
 
-Documents of equal shingle sets form a class, and the least doc_id stands for it; only these go on. Signatures of 128 parts in 32
+Documents of equal shingle sets form a class, and one text stands for it, whatever its doc_id; only these go on. Signatures of 128 parts in 32
 bands of 4 miss a pair of similarity 0.75 with probability 5e-6. A bucket first links its members to its hub, each pair
 being verified on both full sets. Then only buckets that still hold several components are looked at again: their members
 outside the largest component meet all members, block by block. A task tests pairs of different components by falling
@@ -9,8 +9,8 @@ a group of copies costs about as many tests as it has members. A pair is tested
 if its sizes allow a link and the estimate is at least 0.60, four standard errors below 0.75.
 
 Cases: null and empty texts have empty sets and are kept and linked with nothing; fewer words than a shingle make one shingle;
-ties go to the least doc_id; repeated rows give one result row each, and different texts under one doc_id count as
-linked; an empty table gives no rows; a null doc_id is an id of its own, below all others; other columns are ignored.
+ties go to the least doc_id; repeated rows give one result row each; different texts under one doc_id are searched each for
+itself, and share a component_id only by name; an empty table gives no rows; a null doc_id is below all others; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import Workspace, safe_id, shown_id, trimmed
@@ -29,7 +29,7 @@ from quire.llm.components import components, follow
 from quire.llm.hashing import WordHashes, band_hashes, shingles, super_min_hash
 
 SIZE, ROWS = 128, 4
-SIGNED = "doc_id long, n_shingles long, class binary, bands array<long>, marks binary"
+SIGNED = "doc_id long, text_id binary, n_shingles long, class binary, bands array<long>, marks binary"
 #: Elements whose signatures are made at once, and members of a bucket in a block.
 AT_ONCE, BLOCK = 200_000, 1024
 #: Signature parts that have to agree before a pair of an open bucket is tested.
@@ -38,18 +38,23 @@ LEAST = round(0.6 * SIZE)
 IDS = 1_000_000
 
 
+def text_id() -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.unhex(F.md5(F.col("text").cast("string").cast("binary"))).alias("text_id")
+
+
 def sets_of(hashes: WordHashes, texts: list[bytes | None], words: int) -> list[np.ndarray]:
     return [shingles(hashes.of((t or b"").lower().split()), words) for t in texts]
 
 
 def sign(words: int):
-    """A mapInArrow function from (doc_id, text) to SIGNED rows."""
+    """A mapInArrow function from (doc_id, text_id, text) to SIGNED rows."""
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            ids, texts = batch.column(0), pc.cast(batch.column(1), pa.binary())
+            ids, text_ids, texts = batch.column(0), batch.column(1), pc.cast(batch.column(2), pa.binary())
             at = 0
             while at < batch.num_rows:
                 sets, held, start = [], 0, at
@@ -62,7 +67,7 @@ def sign(words: int):
                 marks = signatures.astype(np.uint8)
                 empty = np.array([not len(s) for s in sets])
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands.shape[1]), pa.array(bands.reshape(-1)))
-                yield pa.record_batch([ids.slice(start, at - start), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary(), mask=empty), lists, pa.array([m.tobytes() for m in marks], pa.binary())], names=["doc_id", "n_shingles", "class", "bands", "marks"])
+                yield pa.record_batch([ids.slice(start, at - start), text_ids.slice(start, at - start), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary(), mask=empty), lists, pa.array([m.tobytes() for m in marks], pa.binary())], names=["doc_id", "text_id", "n_shingles", "class", "bands", "marks"])
 
     return run
 
@@ -152,18 +157,18 @@ class NearGroups:
     def __init__(self, spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 75):
         self.work = Workspace(spark, "near-dedup")
         self.words, self.percent = words, percent
-        text = docs.select(safe_id(), F.col("text").cast("string").alias("text"))
+        text = docs.select(safe_id(), text_id(), F.col("text").cast("string").alias("text"))
         self.signed = self.work.table(text.mapInArrow(sign(words), SIGNED), "signed")
-        self.classes = self.work.table(self.signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep")), "classes")
-        heads = self.signed.select("doc_id", "class", "n_shingles", "bands", "marks").join(self.classes, "class").where("doc_id = rep").dropDuplicates(["rep"])
+        firsts = self.signed.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "text_id")).alias("first"))
+        self.classes = self.work.table(firsts.select("class", "first.*", F.monotonically_increasing_id().alias("rep")), "classes")
+        heads = self.signed.join(self.classes, ["class", "doc_id", "text_id"]).select("rep", "n_shingles", "bands", "marks").dropDuplicates(["rep"])
         spread = heads.select("rep", F.posexplode("bands").alias("band", "bucket"))
         shared = spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
         self.members = self.work.table(spread.join(shared, "bucket").select("bucket", "band", "hub", "rep"), "members")
-        reps = self.members.select("rep").distinct()
-        reps = self.work.table(reps, "reps")
+        reps = self.work.table(self.members.select("rep").distinct().join(self.classes, "rep").select("rep", "doc_id", "text_id"), "reps")
         known = F.broadcast(reps) if reps.count() <= IDS else reps
-        texts = text.join(known.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text"))
-        self.texts = self.work.table(texts.join(heads.select("rep", "n_shingles", "bands", "marks"), "rep"), "texts")
+        texts = text.join(known, ["doc_id", "text_id"]).groupBy("rep").agg(F.min("text").alias("text"))
+        self.texts = self.work.table(texts.join(heads, "rep"), "texts")
         self.roots = self._resolve()
 
     def _resolve(self) -> DataFrame:
@@ -193,9 +198,14 @@ class NearGroups:
         rows = rows.select("bucket", "band", "rep", "root", F.explode(F.concat(as_first, as_second)).alias("at")).select("bucket", "band", "rep", "root", "at.*")
         return rows.join(self.texts, "rep").groupBy("bucket", "low", "high").applyInArrow(link_block(self.words, self.percent), "a long, b long").distinct()
 
+    def _rooted(self) -> DataFrame:
+        return self.classes.join(self.roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept."""
-        classes = self.classes.join(self.roots.withColumnRenamed("node", "rep"), "rep", "left").select("class", F.coalesce("root", "rep").alias("component_id"))
+        classes = self._rooted()
+        named = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+        classes = classes.select("class", "root").join(named, "root").select("class", "component_id")
         rows = self.signed.select("doc_id", "n_shingles", "class").join(classes, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
         return rows.select(shown_id(), "n_shingles", shown_id("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
 

@@ -216,6 +216,14 @@ def test_near_dedup(spark, odd):
     assert {k: (r.n_shingles, r.component_id, r.kept) for k, r in found.items()} == {k: (len(s), find(k), find(k) == k) for k, s in sets.items()}
 
 
+def test_near_copies_of_every_text_of_an_id(spark):
+    """Each text of an id, and of no id, has a near copy under an id of its own."""
+    bases = [" ".join(f"{x}{k}" for k in range(60)) for x in "abcd"]
+    texts = [*zip((5, 5, None, None), bases, strict=True), *((10 + k, f"{t} tail") for k, t in enumerate(bases)), (3, "z " + bases[1])]
+    found = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_groups(spark, spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert found == {(5, 5, True), (5, 3, False), (None, None, True), (10, 5, False), (11, 3, False), (12, None, False), (13, None, False), (3, 3, True)}
+
+
 def test_bytes_that_agree_by_chance_do_not_hide_a_pair():
     """The marks agree in bands 0 to 19, the full hashes only from band 9 on: the pair is tested in bucket 9, and only there."""
     text = " ".join(f"w{k}" for k in range(50))
