@@ -1,44 +1,64 @@
 """Corpus pipeline: quality, near duplicates, contamination, mixing, token files; each stage on all that the one before kept.
 
-Every stage but the last returns its documents with the columns of the table. Rows without a doc_id go through all stages
-like any other. A stage's tables in the shared folder are dropped when the next stage starts, as its result has been written by then.
+Every stage but the last returns its documents with the columns of the table. Decisions are of rows, not of doc_ids, so rows
+without a doc_id or with one that others have go through all stages like any other. A stage's tables in the shared folder are dropped when the next stage starts, as its result has been written by then.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import decontaminate, mixing, near_dedup, quality, token_output
-from quire.llm.common import NULL_ID, Workspace, live_workspaces
+from quire.llm.common import Workspace, live_workspaces
 from quire.shipping import ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _ours: list[Workspace] = []
 
 
+def key_of(docs: DataFrame) -> Column:
+    """A 64-bit hash of the row; rows of equal values share it and any decision that comes from the values."""
+    return F.xxhash64(*docs.columns, *(F.isnull(c) for c in docs.columns))
+
+
 def keep(docs: DataFrame, decided: DataFrame, wanted: str) -> DataFrame:
-    """The rows of docs whose doc_id is wanted in the decisions."""
-    ids = decided.where(wanted).select(F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).alias("_kept_id")).distinct()
-    return docs.join(ids, F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)) == F.col("_kept_id"), "left_semi")
+    """The rows of docs whose key is wanted in the decisions, where it is the column _key."""
+    keys = decided.where(wanted).select("_key").distinct()
+    return docs.withColumn("_key", key_of(docs)).join(keys, "_key", "left_semi").select(*docs.columns)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with the rows' keys instead of their ids."""
+    return docs.withColumn("doc_id", key_of(docs))
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep(docs, quality.classify(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), "kept")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").cast("long").alias("_id"), "quality", "toxic")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), key_of(docs).alias("doc_id"))
+    decided = quality.classify(spark, keyed(docs), rows.join(labels, "_id").select("doc_id", "quality", "toxic"))
+    return keep(docs, decided.withColumnRenamed("doc_id", "_key"), "kept")
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep(docs, near_dedup.near_groups(spark, docs), "kept")
+    """One row of each group; texts without words are in no group. Of rows of equal id and text the least by its other columns stays."""
+    rows, blank = docs.select("*", near_dedup.safe_id().alias("_id"), near_dedup.text_id().alias("_text")), ~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = rows.join(near_dedup.NearGroups(spark, docs).heads().select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text"), "repeated"), ["_id", "_text"])
+    one = kept.where("repeated").groupBy("_id", "_text").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return docs.where(blank).unionByName(kept.where("not repeated").select(*docs.columns)).unionByName(one)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep(docs, decontaminate.decontaminate(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "not contaminated")
+    decided = decontaminate.decontaminate(spark, keyed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return keep(docs, decided.withColumnRenamed("doc_id", "_key"), "not contaminated")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep(docs, mixing.mix(spark, docs), "sampled")
+    """Rows without a doc_id are drawn by their keys, each for itself."""
+    rows = docs.withColumn("_key", key_of(docs)).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), "_key"))
+    return keep(docs, mixing.mix(spark, rows, carry=("_key",)), "sampled")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,23 +94,23 @@ def fit(cells: list[tuple[str, str, str, int]], targets: Targets) -> np.ndarray:
     return np.round(np.divide(now, held, out=np.zeros_like(now), where=held > 0), 9)
 
 
-def weighted(docs: DataFrame, targets: Targets) -> DataFrame:
+def weighted(docs: DataFrame, targets: Targets, carry: tuple[str, ...] = ()) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), in_targets(F.col("source"), targets.source).alias("source"), in_targets(F.col("lang"), targets.lang).alias("lang"), token_count(text).alias("n_tokens"), text.alias("text"))
-    return counted.select("doc_id", "source", "lang", topic_of(F.col("text"), F.col("n_tokens")).alias("topic"), "n_tokens")
+    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), in_targets(F.col("source"), targets.source).alias("source"), in_targets(F.col("lang"), targets.lang).alias("lang"), token_count(text).alias("n_tokens"), text.alias("text"), *carry)
+    return counted.select("doc_id", "source", "lang", topic_of(F.col("text"), F.col("n_tokens")).alias("topic"), "n_tokens", *carry)
 
 
-def mix(spark: SparkSession, docs: DataFrame, targets: Targets | None = None) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens, probability and sampled of every row of docs."""
+def mix(spark: SparkSession, docs: DataFrame, targets: Targets | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, lang, topic, n_tokens, probability and sampled of every row of docs, and its columns named in carry."""
     targets = targets or Targets()
-    rows = weighted(docs, targets)
+    rows = weighted(docs, targets, carry)
     keys = ["source", "lang", "topic"]
     cells = sorted(tuple(r) for r in rows.groupBy(*keys).agg(F.sum("n_tokens").alias("n")).collect())
     chances = fit(cells, targets)
     table = spark.createDataFrame([(*c[:3], float(p)) for c, p in zip(cells, chances, strict=True)], "source string, lang string, topic string, probability double")
     chosen = rows.join(F.broadcast(table) if len(cells) <= BROADCAST_CELLS else table, keys)
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(targets.seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
-    return chosen.select("doc_id", *keys, "n_tokens", "probability", (draw < F.col("probability")).alias("sampled"))
+    return chosen.select("doc_id", *keys, "n_tokens", "probability", (draw < F.col("probability")).alias("sampled"), *carry)
 
 
 def oracle(targets: Targets | None = None) -> str:

@@ -201,6 +201,12 @@ class NearGroups:
     def _rooted(self) -> DataFrame:
         return self.classes.join(self.roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
 
+    def heads(self) -> DataFrame:
+        """doc_id (NULL_ID for null), text_id and repeated (whether several rows have both) of the first text of each group."""
+        firsts = self._rooted().groupBy("root").agg(F.min(F.struct("doc_id", "text_id")).alias("first")).select("first.*")
+        repeats = self.signed.groupBy("doc_id", "text_id").agg(F.count("*").alias("n")).where("n > 1")
+        return firsts.join(repeats, ["doc_id", "text_id"], "left").select("doc_id", "text_id", F.col("n").isNotNull().alias("repeated"))
+
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept."""
         classes = self._rooted()

@@ -14,3 +14,15 @@ def test_stages(spark, tmp_path):
     assert sizes[0] > sizes[1] > sizes[2] >= sizes[3] > sizes[4] == sizes[5] > 0
     rows = sorted(docs.collect())
     assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_rows_of_one_id_or_none_are_decided_each_for_itself(spark, tmp_path):
+    item = " ".join(f"term{k}" for k in range(14))
+    base = [" ".join(f"{x}{k}" for k in range(60)) for x in "abcde"]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(5, base[0]), (5, base[0]), (5, base[1]), (9, base[1] + " tail"), (None, base[2]), (None, base[2]), (None, base[3]), (None, f"x {item} y"), (7, base[4]), (7, f"{item} {base[0][:90]}"), (8, None), (None, " ")]
+    docs = spark.createDataFrame([(k, t, "en", "src1") for k, t in rows], "doc_id long, text string, lang string, source string")
+    stages = dict(corpus_pipeline.STAGES)
+    found = lambda name: sorted(((r.doc_id, r.text) for r in stages[name](spark, docs, str(tmp_path)).collect()), key=repr)
+    assert found("decontamination") == sorted((r for r in rows if item not in (r[1] or "")), key=repr)
+    assert found("near_dedup") == sorted({*rows} - {(9, base[1] + " tail")}, key=repr)
