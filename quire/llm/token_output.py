@@ -7,8 +7,9 @@ t alone (batch t // (rows * length)), so a memory map gives any sequence without
 each document's place. Files get a name of their own for each task attempt; only those named in the manifest, a table
 written after the files are complete, count, so a lost executor leaves at most an unused file.
 
-The encoder caches the ids of chunks. A chunk starts at a space that a non-space follows; the vocabulary's pre-tokenizer
-always starts a new piece there, so the ids of a text are those of its chunks, which the library itself encodes.
+A chunk starts at a space that a non-space follows; the vocabulary's pre-tokenizer always starts a new piece there, so the ids
+of a text are those of its chunks, which the library itself encodes. Arrow cuts texts and numbers their distinct chunks, whose ids are
+cached, and the ids of all chunks are then taken by number; Python handles distinct chunks only.
 
 Cases: a null text is empty and has its end id only; equal doc_ids follow each other in order of text; a null doc_id
 comes first and stays null; an empty table gives no rows; other columns are ignored.
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,6 +34,10 @@ from quire.llm.common import Workspace, caches, trimmed
 
 MANIFEST = "part int, data string, places string, n_docs long, n_tokens long"
 CACHED = 1_000_000
+#: Chunks that are given to the library as one text, and how a byte-level vocabulary writes a space.
+JOINED, SPACE = 500, "\u0120"
+#: Bytes of text that are cut and encoded at once, at least one document.
+TEXT = 16 << 20
 
 
 class ChunkEncoder:
@@ -46,31 +52,68 @@ class ChunkEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.kind = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
-        self.unsafe = re.compile(r" \s| \Z").search
+        self.cache: dict[str, bytes] = {"": b""}
+        self.opens = np.zeros(max(self.model.get_vocab().values()) + 1, bool)
+        self.opens[[k for x, k in self.model.get_vocab().items() if x.startswith(SPACE)]] = True
         self.pieces = re.compile(r"(?= \S)").split
 
-    def chunks(self, text: str) -> list[str]:
-        if self.unsafe(text):
-            return self.pieces(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cache, out = self.cache, []
+    def ids_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the chunks one after another, and where each chunk's ids start, with the end of the last."""
+        cache = self.cache
         if len(cache) > CACHED:
             cache.clear()
-        for text in texts:
-            chunks = self.chunks(text)
-            parts = [*map(cache.get, chunks)]
-            if None in parts:
-                self.learn({x for x, part in zip(chunks, parts, strict=True) if part is None})
-                parts = map(cache.get, chunks)
-            out.append(b"".join(parts))
-        return out
+            cache[""] = b""
+        missing = {x for x in chunks if x not in cache}
+        if missing:
+            self.learn(missing)
+        parts = [cache[x] for x in chunks]
+        starts = np.zeros(len(parts) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // self.kind.itemsize, out=starts[1:])
+        return np.frombuffer(b"".join(parts), self.kind), starts
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, an end id after each, and how many each has.
+
+        Arrow cuts at spaces and numbers the distinct pieces, so Python sees each of these once; then ids are taken by number. A piece
+        that is empty or starts with white space means that a chunk has several spaces; such texts are cut one by one.
+        """
+        lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        pieces = lists.flatten()
+        coded = pieces.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        odd = np.fromiter((not x or x[0].isspace() for x in names), bool, len(names))
+        codes = coded.indices.to_numpy().astype(np.int64)
+        strange = odd[codes]
+        strange[bounds[:-1]] = False  # the first piece follows no space
+        irregular = np.flatnonzero(np.add.reduceat(strange, bounds[:-1])) if len(texts) else np.zeros(0, np.int64)
+        firsts = pieces.take(pa.array(bounds[:-1])).to_pylist()
+        apart = [self.pieces(texts[int(k)].as_py()) for k in irregular]
+        flat, starts = self.ids_of([*(" " + x for x in names), *firsts, *(x for cut in apart for x in cut)])
+        flat, end = np.append(flat, np.array(end_id, self.kind)), len(starts) - 1
+        starts = np.append(starts, len(flat))
+        codes[bounds[:-1]] = len(names) + np.arange(len(texts))
+        sequence = np.insert(codes, bounds[1:], end)
+        sizes = np.diff(bounds) + 1
+        if len(irregular):
+            cuts = np.cumsum(sizes)
+            parts, at, number = [], 0, len(names) + len(firsts)
+            for k, cut in zip(irregular.tolist(), apart, strict=True):
+                parts += [sequence[at : cuts[k] - sizes[k]], np.arange(number, number + len(cut)), np.array([end])]
+                at, number, sizes[k] = int(cuts[k]), number + len(cut), len(cut) + 1
+            sequence = np.concatenate([*parts, sequence[at:]])
+        many = starts[sequence + 1] - starts[sequence]
+        ends = np.cumsum(many)
+        ids = flat[np.repeat(starts[sequence] - (ends - many), many) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        totals = np.append(0, ends)[np.append(0, np.cumsum(sizes))]
+        return ids, np.diff(totals)
 
     def learn(self, chunks: set[str]) -> None:
-        """A comma or full stop after a letter is a piece of its own, so the chunk without it is looked up first."""
+        """Has the library encode chunks, those that hold no space but their first one in joined texts.
+
+        Such a chunk's ids start where a piece starts with a space, if the text has as many of these as chunks. A comma or full stop
+        after a letter is a piece of its own, so the chunk without it is learned.
+        """
         cache, whole, ended = self.cache, [x for x in (",", ".") if x not in self.cache], []
         for x in chunks:
             if x[-1:] in (",", ".") and x[-2:-1].isalpha():
@@ -79,8 +122,16 @@ class ChunkEncoder:
                 if x in cache:
                     continue
             whole.append(x)
-        code = "H" if self.kind.itemsize == 2 else "I"
-        for x, found in zip(whole, self.model.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+        plain = [x for x in whole if x[0] == " " and " " not in x[1:]] if self.opens.any() else []
+        for at in range(0, len(plain), JOINED):
+            part = plain[at : at + JOINED]
+            ids = np.array(self.model.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            starts = np.append(np.flatnonzero(self.opens[ids]), len(ids))
+            if len(starts) == len(part) + 1:
+                raw, cuts = ids.tobytes(), (starts * self.kind.itemsize).tolist()
+                cache.update((x, raw[cuts[k] : cuts[k + 1]]) for k, x in enumerate(part))
+        code, rest = "H" if self.kind.itemsize == 2 else "I", [x for x in whole if x not in cache]
+        for x, found in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             cache[x] = array(code, found.ids).tobytes()
         for x in ended:
             cache[x] = cache[x[:-1]] + cache[x[-1]]
@@ -92,6 +143,16 @@ def encoder(vocabulary: str) -> ChunkEncoder:
     return caches[vocabulary]
 
 
+def portions(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch whose texts (column 1) have at most so many bytes, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def opened(uri: str):
     """The file system of a URI or a plain path, and the path in it."""
     from pyarrow import fs
@@ -105,7 +166,6 @@ def write_files(root: str, vocabulary: str, end_id: int, length: int, rows: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, part = encoder(vocabulary), TaskContext.get().partitionId()
         kind, step = model.kind, length * rows
-        end = np.array([end_id], kind).tobytes()
         name = f"{root}/part-{part:05d}-{uuid.uuid4().hex}"
         store, path = opened(name)
         value = pa.uint16() if kind.itemsize == 2 else pa.uint32()
@@ -113,35 +173,33 @@ def write_files(root: str, vocabulary: str, end_id: int, length: int, rows: int)
         held, size, total, count, file = [], 0, 0, 0, None
         places_schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
-        def batch_of(raw: bytes) -> pa.RecordBatch:
-            ids = np.frombuffer(raw, kind)
+        def batch_of(ids: np.ndarray) -> pa.RecordBatch:
             real = len(ids)
             full = -(-real // length) * length
             if full > real:
                 ids = np.concatenate([ids, np.zeros(full - real, kind)])
             return pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(ids), length), pa.FixedSizeListArray.from_arrays(pa.array(np.arange(full) < real), length)], schema=schema)
 
-        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+        for batch in (part for b in batches for part in portions(b, TEXT)):
             if file is None:
                 store.create_dir(path.rsplit("/", 1)[0], recursive=True)
                 sinks = store.open_output_stream(f"{path}.arrow"), store.open_output_stream(f"{path}.places.arrow")
                 file, places = pa.ipc.new_file(sinks[0], schema), pa.ipc.new_file(sinks[1], places_schema)
-            encoded = [x + end for x in model.encode([t or "" for t in batch.column(1).to_pylist()])]
-            sizes = np.array([len(x) // kind.itemsize for x in encoded], np.int64)
+            ids, sizes = model.encode(pc.fill_null(batch.column(1), ""), end_id)
             starts = total + np.cumsum(sizes) - sizes
             places.write_batch(pa.record_batch([batch.column(0), pa.array(starts), pa.array(sizes)], schema=places_schema))
-            total, count = total + int(sizes.sum()), count + len(encoded)
-            held += encoded
-            size += int(sizes.sum())
+            total, count = total + len(ids), count + len(sizes)
+            held.append(ids)
+            size += len(ids)
             if size >= step:
-                raw = b"".join(held)
+                ids = np.concatenate(held)
                 whole = size // step * step
                 for at in range(0, whole, step):
-                    file.write_batch(batch_of(raw[at * kind.itemsize : (at + step) * kind.itemsize]))
-                held, size = [raw[whole * kind.itemsize :]], size - whole
+                    file.write_batch(batch_of(ids[at : at + step]))
+                held, size = [ids[whole:].copy()], size - whole
         if file is not None:
             if size:
-                file.write_batch(batch_of(b"".join(held)))
+                file.write_batch(batch_of(np.concatenate(held)))
             file.close(), places.close(), sinks[0].close(), sinks[1].close()
             yield pa.record_batch([pa.array([part], pa.int32()), pa.array([f"{name}.arrow"]), pa.array([f"{name}.places.arrow"]), pa.array([count], pa.int64()), pa.array([total], pa.int64())], names=["part", "data", "places", "n_docs", "n_tokens"])
 
