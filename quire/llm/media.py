@@ -1,16 +1,22 @@
 """GIF media: decode LZW code streams, apply palettes, disposal and transparency, and store timed frames.
 
 encode_gif stores bytes as the palette indices of 64 pixel wide frames under a grey palette whose entry i is (i, i, i), so
-the picture is lossless. Its LZW streams hold literal codes with a clear code before the code width would grow, which any
-decoder reads. decode_gif reads any GIF: variable code widths, interlacing, local palettes, transparency and all disposal
-methods. Streams of literals alone are unpacked by arrays instead of a loop; the codes mean the same there.
+the picture is lossless. Its LZW streams grow a dictionary of 4096 codes and clear it when it is full. frames_of decodes any GIF:
+variable code widths, deferred clears, interlacing, local palettes; composed applies palettes, transparency and all disposal
+methods; what the query reads back are the colours that are shown, frame by frame, with their histograms.
+
+Code widths follow from how many codes stand between a code and the clear code before it, so arrays pack and unpack the
+bits of a whole run of codes; only the dictionary itself is a loop.
 
 Cases: a null text is empty; a payload is never empty (zero bytes fill it up to a multiple of 64); long texts become
-several frames; equal texts give equal values; repeated rows give one result row each; an empty table gives no rows.
+several frames; equal texts give equal values, whatever their rows; repeated rows give one result row each; an empty table gives
+no rows; a null doc_id stays null; other columns are ignored, whatever their names. Media that are null or no GIF have no frames; a file that
+breaks off has the frames before that; in a code stream that ends early or holds an impossible code the remaining indices are 0.
 """
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import struct
 import zlib
@@ -23,50 +29,61 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import trimmed
+from quire.llm.common import portions, trimmed
 
-WIDTH, ROWS, RUN = 64, 1024, 254
+WIDTH, ROWS = 64, 1024
+#: Bytes of texts or media that are handled at once, at least one.
+BYTES = 16 << 20
 GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
 MEDIA = "doc_id long, n_bytes long, media binary"
 FRAMES = "doc_id long, frame int, delay_ms int, disposal int, width int, height int, rgb binary, histogram array<long>"
-RESULT = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-
-
-def pack_nine(codes: np.ndarray) -> bytes:
-    """Codes of nine bits, lowest bits first."""
-    count = len(codes)
-    c = np.zeros((-(-count // 8), 8), np.uint64)
-    c.reshape(-1)[:count] = codes
-    low = np.zeros(len(c), "<u8")
-    for k in range(8):
-        low |= c[:, k] << np.uint64(9 * k)
-    out = np.empty((len(c), 9), np.uint8)
-    out[:, :8] = low.view(np.uint8).reshape(-1, 8)
-    out[:, 8] = c[:, 7] >> np.uint64(1)
-    return out.tobytes()[: -(-count * 9 // 8)]
-
-
-def unpack_nine(data: bytes) -> np.ndarray:
-    count = len(data) * 8 // 9
-    raw = np.zeros((-(-len(data) // 9), 9), np.uint8)
-    raw.reshape(-1)[: len(data)] = np.frombuffer(data, np.uint8)
-    low = np.ascontiguousarray(raw[:, :8]).view("<u8").reshape(-1)
-    out = np.empty((len(raw), 8), np.uint16)
-    for k in range(7):
-        out[:, k] = (low >> np.uint64(9 * k)) & np.uint64(511)
-    out[:, 7] = (low >> np.uint64(63)).astype(np.uint16) | (raw[:, 8].astype(np.uint16) << 1)
-    return out.reshape(-1)[:count]
-
-
-def literal_codes(pixels: np.ndarray) -> np.ndarray:
-    """A clear code before each run of at most RUN literals, and the end code."""
-    runs = max(1, -(-len(pixels) // RUN))
-    codes = np.full(len(pixels) + runs + 1, 256, np.uint16)
-    codes[np.arange(len(pixels)) + np.arange(len(pixels)) // RUN + 1] = pixels
-    codes[-1] = 257
+RESULT = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames array<struct<frame int, delay_ms int, disposal int, width int, height int, histogram array<long>>>"
+
+
+def widths(bits: int, count: int) -> np.ndarray:
+    """The widths of so many codes after a clear code: each code but the first adds an entry, up to 4096."""
+    entries = np.minimum((1 << bits) + 2 + np.maximum(np.arange(count) - 1, 0), 4095)
+    return np.floor(np.log2(entries)).astype(np.int64) + 1
+
+
+EIGHT = widths(8, 4096)
+
+
+def lzw_codes(pixels: bytes) -> list[int]:
+    """The codes of 8-bit pixels: the longest known run each time, and a clear code when the dictionary is full."""
+    codes, known, free = [256], {}, 258
+    rest = iter(pixels)
+    now = next(rest)
+    for pixel in rest:
+        run = now << 8 | pixel
+        if run in known:
+            now = known[run]
+            continue
+        codes.append(now)
+        if free < 4096:
+            known[run] = free
+            free += 1
+        else:
+            codes.append(256)
+            known, free = {}, 258
+        now = pixel
+    codes += (now, 257)
     return codes
 
 
+def pack_codes(codes: list[int]) -> bytes:
+    """The codes as bits, lowest first, each as wide as its place after the last clear code asks for."""
+    c = np.array(codes, np.int64)
+    clears = np.flatnonzero(c == 256)
+    since = np.arange(len(c)) - np.repeat(clears, np.diff(np.append(clears, len(c)))) - 1
+    wide = EIGHT[np.maximum(since, 0)]
+    wide[clears[1:]] = EIGHT[np.diff(clears) - 1]
+    ends = np.cumsum(wide)
+    at = ends - wide
+    value, place, size = c << (at & 7), at >> 3, int(ends[-1] + 7) // 8
+    return sum(np.bincount(place + k, value >> 8 * k & 255, size + 2) for k in range(3)).astype(np.uint8)[:size].tobytes()
+
+
 def sub_blocks(data: bytes) -> bytes:
     whole = len(data) // 255
     head = np.full((whole, 256), 255, np.uint8)
@@ -82,59 +99,63 @@ def encode_gif(payload: bytes, delay_cs: int = 10) -> bytes:
     out = [b"GIF89a", struct.pack("<HHBBB", WIDTH, high, 0xF7, 0, 0), GREY]
     for at in range(0, len(pixels), WIDTH * ROWS):
         frame = pixels[at : at + WIDTH * ROWS]
-        out += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, delay_cs, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, WIDTH, len(frame) // WIDTH, 0), b"\x08", sub_blocks(pack_nine(literal_codes(frame)))]
+        out += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, delay_cs, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, WIDTH, len(frame) // WIDTH, 0), b"\x08", sub_blocks(pack_codes(lzw_codes(frame.tobytes())))]
     return b"".join([*out, b";"])
 
 
-def lzw_literals(data: bytes, count: int) -> np.ndarray | None:
-    """The pixels of a stream of nine-bit literals and clear codes, or None if it is of another kind."""
-    codes = unpack_nine(data)
-    ends = np.flatnonzero(codes == 257)
-    if not len(ends) or codes[0] != 256:
-        return None
-    codes = codes[: ends[0]]
-    clears = np.flatnonzero(codes == 256)
-    if np.diff(np.append(clears, len(codes))).max() > RUN + 1 or (codes > 256).any() or len(codes) - len(clears) < count:
-        return None
-    return codes[codes < 256][:count].astype(np.uint8)
+def code_runs(data: bytes, bits: int) -> Iterator[list[int]]:
+    """The codes between clear codes, up to the end code or the end of the data."""
+    clear, total, at = 1 << bits, 8 * len(data), 0
+    raw = np.append(np.frombuffer(data, np.uint8), np.zeros(3, np.uint8)).astype(np.int64)
+    first = EIGHT if bits == 8 else widths(bits, 4096)
+    run, wide = [], first
+    while at < total:
+        upto = int(np.searchsorted(np.cumsum(wide), total - at, "right"))
+        ends = at + np.cumsum(wide[:upto])
+        starts = ends - wide[:upto]
+        place = starts >> 3
+        codes = (raw[place] | raw[place + 1] << 8 | raw[place + 2] << 16) >> (starts & 7) & ((1 << wide[:upto]) - 1)
+        stops = np.flatnonzero((codes == clear) | (codes == clear + 1))
+        run += codes[: stops[0]].tolist() if len(stops) else codes.tolist()
+        if not len(stops):
+            if upto < len(wide):
+                break
+            at, wide = int(ends[-1]), np.full(4096, 12)
+            continue
+        if run:
+            yield run
+        if codes[stops[0]] == clear + 1:
+            return
+        at, run, wide = int(ends[stops[0]]), [], first
+    if run:
+        yield run
 
 
 def lzw_decode(data: bytes, bits: int, count: int) -> np.ndarray:
-    """Palette indices of an LZW code stream with the given minimum code size; a short stream is filled with zeros."""
-    if bits == 8 and (found := lzw_literals(data, count)) is not None:
-        return found
-    clear, end = 1 << bits, (1 << bits) + 1
-    table: list[bytes] = []
-    out, size, last = bytearray(), bits + 1, None
-    held = have = at = 0
-    while len(out) < count:
-        while have < size and at < len(data):
-            held |= data[at] << have
-            have, at = have + 8, at + 1
-        if have < size:
+    """Palette indices of an LZW code stream with the given minimum code size; zeros fill up a stream that is short or breaks."""
+    if not 1 <= bits <= 8:
+        return np.zeros(count, np.uint8)
+    base, parts, size = [bytes([k]) for k in range(1 << bits)] + [b"", b""], [], 0
+    for codes in code_runs(data, bits):
+        if size >= count or codes[0] >= 1 << bits:
             break
-        code = held & ((1 << size) - 1)
-        held, have = held >> size, have - size
-        if code == clear:
-            table, size, last = [bytes([k]) for k in range(clear)] + [b"", b""], bits + 1, None
-            continue
-        if code == end or not table and code > end:
+        table, last, out = base.copy(), base[codes[0]], [base[codes[0]]]
+        for code in codes[1:]:
+            if code < len(table):
+                entry = table[code]
+            elif code == len(table):
+                entry = last + last[:1]
+            else:
+                break
+            out.append(entry)
+            if len(table) < 4096:
+                table.append(last + entry[:1])
+            last = entry
+        parts.append(b"".join(out))
+        size += len(parts[-1])
+        if len(out) < len(codes):
             break
-        if not table:
-            table = [bytes([k]) for k in range(clear)] + [b"", b""]
-        if last is None:
-            entry = table[code] if code < clear else b""
-        elif code < len(table):
-            entry = table[code]
-        else:
-            entry = last + last[:1]
-        out += entry
-        if last is not None and len(table) < 4096:
-            table.append(last + entry[:1])
-            if len(table) == 1 << size and size < 12:
-                size += 1
-        last = entry
-    return np.frombuffer(bytes(out[:count].ljust(count, b"\0")), np.uint8)
+    return np.frombuffer(b"".join(parts)[:count].ljust(count, b"\0"), np.uint8)
 
 
 @dataclass
@@ -151,21 +172,33 @@ class Frame:
 def read_blocks(data: bytes, at: int) -> tuple[bytes, int]:
     parts = []
     while n := data[at]:
+        if at + 1 + n > len(data):
+            raise IndexError("the block breaks off")
         parts.append(data[at + 1 : at + 1 + n])
         at += n + 1
     return b"".join(parts), at + 1
 
 
-def frames_of(data: bytes) -> Iterator[Frame]:
-    """The frames as they are stored, before disposal and transparency."""
+def read_palette(data: bytes, at: int, flags: int) -> tuple[np.ndarray, int]:
+    end = at + 3 * (2 << (flags & 7))
+    if end > len(data):
+        raise IndexError("the palette breaks off")
+    return np.frombuffer(data[at:end], np.uint8).reshape(-1, 3), end
+
+
+def frames_of(data: bytes | None) -> Iterator[Frame]:
+    """The frames as they are stored, before disposal and transparency, up to where the file breaks off."""
+    with contextlib.suppress(IndexError, struct.error):
+        yield from whole_frames(data or b"")
+
+
+def whole_frames(data: bytes) -> Iterator[Frame]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
-        raise ValueError("not a GIF")
+        return
     width, high, flags, _, _ = struct.unpack_from("<HHBBB", data, 6)
     at, shared = 13, np.zeros((256, 3), np.uint8)
     if flags & 0x80:
-        n = 2 << (flags & 7)
-        shared = np.frombuffer(data, np.uint8, 3 * n, at).reshape(-1, 3)
-        at += 3 * n
+        shared, at = read_palette(data, at, flags)
     delay = disposal = 0
     transparent = None
     while at < len(data) and data[at] != 0x3B:
@@ -179,9 +212,7 @@ def frames_of(data: bytes) -> Iterator[Frame]:
             at += 10
             palette = shared
             if bits & 0x80:
-                n = 2 << (bits & 7)
-                palette = np.frombuffer(data, np.uint8, 3 * n, at).reshape(-1, 3)
-                at += 3 * n
+                palette, at = read_palette(data, at, bits)
             least = data[at]
             stream, at = read_blocks(data, at + 1)
             indices = lzw_decode(stream, least, w * h).reshape(h, w)
@@ -192,7 +223,7 @@ def frames_of(data: bytes) -> Iterator[Frame]:
             delay = disposal = 0
             transparent = None
         else:
-            raise ValueError(f"unknown block {data[at]:#x}")
+            return
 
 
 def composed(data: bytes) -> Iterator[tuple[Frame, np.ndarray]]:
@@ -221,53 +252,56 @@ def composed(data: bytes) -> Iterator[tuple[Frame, np.ndarray]]:
 
 def light_histogram(rgb: np.ndarray, bins: int = 16) -> np.ndarray:
     """Pixels by lightness, in equal bins of (299 R + 587 G + 114 B) / 1000."""
-    light = rgb.reshape(-1, 3).astype(np.uint32) @ np.array([299, 587, 114], np.uint32) // 1000
+    r, g, b = (rgb[..., k].reshape(-1).astype(np.uint32) for k in range(3))
+    light = (299 * r + 587 * g + 114 * b) // 1000
     return np.bincount(light * bins // 256, minlength=bins)
 
 
 @trimmed
 def media_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = pc.cast(batch.column(1), pa.binary())
-        for at in range(0, batch.num_rows, 256):
-            part = [t or b"" for t in texts.slice(at, 256).to_pylist()]
-            media = [encode_gif(t + bytes(-len(t) % 64 if t else 64)) for t in part]
-            yield pa.record_batch([batch.column(0).slice(at, 256), pa.array([len(t) for t in part], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+    for batch in (part for b in batches for part in portions(b, BYTES)):
+        texts = [t or b"" for t in pc.cast(batch.column(1), pa.binary()).to_pylist()]
+        media = [encode_gif(t + bytes(-len(t) % WIDTH if t else WIDTH)) for t in texts]
+        yield pa.record_batch([batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+
+
+def timed_frame(number: int, frame: Frame, rgb: np.ndarray) -> dict:
+    return {"frame": number, "delay_ms": frame.delay_ms, "disposal": frame.disposal, "width": rgb.shape[1], "height": rgb.shape[0], "histogram": light_histogram(rgb).tolist()}
 
 
 @trimmed
 def frame_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("doc_id", pa.int64()), ("frame", pa.int32()), ("delay_ms", pa.int32()), ("disposal", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("rgb", pa.binary()), ("histogram", pa.list_(pa.int64()))])
     for batch in batches:
         for doc_id, data in zip(batch.column("doc_id").to_pylist(), batch.column("media").to_pylist(), strict=True):
             for k, (frame, rgb) in enumerate(composed(data)):
-                yield pa.RecordBatch.from_pylist([{"doc_id": doc_id, "frame": k, "delay_ms": frame.delay_ms, "disposal": frame.disposal, "width": rgb.shape[1], "height": rgb.shape[0], "rgb": rgb.tobytes(), "histogram": light_histogram(rgb).tolist()}], schema=pa.schema([("doc_id", pa.int64()), ("frame", pa.int32()), ("delay_ms", pa.int32()), ("disposal", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("rgb", pa.binary()), ("histogram", pa.list_(pa.int64()))]))
+                yield pa.RecordBatch.from_pylist([{"doc_id": doc_id, "rgb": rgb.tobytes(), **timed_frame(k, frame, rgb)}], schema=schema)
 
 
-def read_back(data: bytes) -> tuple[bytes, str]:
-    """The payload of a picture made by encode_gif, and its feature: frames, time and the histogram of lightness.
+def read_back(data: bytes) -> tuple[bytes, list[dict]]:
+    """The payload of a picture made by encode_gif, which is the red of each frame as it is shown, and its timed frames."""
+    parts, frames = [], []
+    for frame, rgb in composed(data):
+        parts.append(rgb[: frame.box[3], :, 0].tobytes())
+        frames.append(timed_frame(len(frames), frame, rgb[: frame.box[3]]))
+    return b"".join(parts), frames
 
-    Opaque frames under the grey palette show their indices as R, so frames are taken as stored; others are composed.
-    """
-    parts, counts, shown = [], np.zeros(16, np.int64), 0
-    frames = list(frames_of(data))
-    plain = all(f.transparent is None and f.palette.tobytes() == GREY and f.box[:3] == (0, 0, f.size[0]) for f in frames)
-    for frame, red in ((f, f.indices) for f in frames) if plain else ((f, rgb[: f.box[3], :, 0]) for f, rgb in composed(data)):
-        parts.append(red.tobytes())
-        counts += np.bincount(red.reshape(-1) >> 4, minlength=16)
-        shown += frame.delay_ms
-    return b"".join(parts), f"frames={len(frames)};ms={shown};light={','.join(map(str, counts))}"
+
+def feature_of(frames: list[dict]) -> str:
+    light = np.sum([f["histogram"] for f in frames], axis=0)
+    return f"frames={len(frames)};ms={sum(f['delay_ms'] for f in frames)};light={','.join(map(str, light))}"
 
 
 @trimmed
 def digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [x.split()[0] for x in RESULT.split(", ")]
-    for batch in batches:
-        sizes = batch.column("n_bytes").to_pylist()
+    frame_kind = pa.list_(pa.struct([("frame", pa.int32()), ("delay_ms", pa.int32()), ("disposal", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("histogram", pa.list_(pa.int64()))]))
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), frame_kind)
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames"]
+    for batch in (part for b in batches for part in portions(b.select(["doc_id", "media", "n_bytes"]), BYTES)):
         out = []
-        for n, data in zip(sizes, batch.column("media").to_pylist(), strict=True):
-            payload, feature = read_back(data)
-            out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature))
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+        for data in batch.column("media").to_pylist():
+            payload, frames = read_back(data)
+            out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature_of(frames), frames))
         columns = [pa.array([row[k] for row in out], kind) for k, kind in enumerate(kinds)]
         yield pa.record_batch([batch.column("doc_id"), batch.column("n_bytes"), *columns], names=names)
 

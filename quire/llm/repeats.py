@@ -1,13 +1,18 @@
-"""Repeated runs of words: what substring dedup and suffix-array dedup share.
+"""Repeated runs of words: the way from documents to groups and back that substring dedup and suffix-array dedup share.
 
 A run of `length` words is repeated if its word sequence starts at two places or more, in one document or several. Every run
 holds a minimiser, its least run of GRAM words by hash, which depends on its words alone; equal runs have equal minimisers.
-So runs whose minimiser stands at one place only cannot be repeated, and only the others (the seeds' runs) are looked at.
+So runs whose minimiser stands at one place only cannot be repeated. Places of the other minimisers are the seeds. A seed
+goes out once with its context, the words that runs around it can reach, to a group that holds all seeds it may share a run
+with; there an operator's own judge compares words and answers which of the seed's runs are repeated.
 
-Work goes in blocks of documents. What a block asks about, 64-bit hashes of minimisers or of runs, is made distinct in the
-block, sorted, cut into groups and packed; a group's task joins the blocks' packed parts and answers with one bit for each
-entry. So a passage that stands in every document costs one entry a block, and no step makes a row for each word or pair.
-Documents of equal words are looked at once. All tables stand in the shared folder.
+Groups are dealt by the minimiser. A minimiser that stands at HOT places or more is dealt by longer runs instead: a seed's runs that
+reach far to its right by the words there, the others by the words to its left, so a frequent phrase does not make a large group.
+Their number follows from the number of seeds. Work goes in blocks of documents: what a block asks about is made distinct in the
+block, cut into groups and packed, so a passage that stands in every document costs one entry a block, and no step makes a row
+for each word or pair. Documents of equal words are looked at once. All tables stand in the shared folder.
+
+Words are compared by hashes: 64 bits choose the seeds, 40 bits a word are compared in groups.
 """
 
 from __future__ import annotations
@@ -22,12 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Workspace, compress, expand, pack, unpack, trimmed
-from quire.llm.hashing import WordHashes, run_hashes
+from quire.llm.common import Workspace, compress, expand, pack, planes, trimmed, unpack, whole
+from quire.llm.hashing import BASE, WordHashes, run_hashes
 
 GRAM = 8
 #: Words and bytes of a block, at least one document; ids up to which a side is broadcast; starts handled at once.
 WORDS, BYTES, IDS, STRIDE = 2_000_000, 16 << 20, 1_000_000, 1 << 19
+#: Seeds of a block and of a group, groups at most, places from which a minimiser is hot, and rows handled at once.
+SEEDS, PER_GROUP, MOST_GROUPS, HOT, STEP = 60_000, 100_000, 16_384, 20_000, 4096
 BLOCKS = "block long, part int, doc_id long, n_words long, whole_sha256 string, text_id binary, content binary"
 ANSWERS = "block long, part int, content binary"
 #: Parts of a block that are no groups.
@@ -81,36 +88,37 @@ def cut_groups(block: int, groups: np.ndarray, *columns: np.ndarray) -> tuple[np
     return order, [{"part": int(g), "content": pack(*(c[order[a:b]] for c in columns))} for g, a, b in zip(names, starts, ends, strict=True)]
 
 
-def answered(order: np.ndarray, answers: list[dict]) -> np.ndarray:
-    """Bits by group as flags in the entries' order."""
-    flags = [np.unpackbits(bits, count=int(count[0])) for count, bits in (unpack(x["content"]) for x in sorted(answers or [], key=lambda x: x["part"]))]
-    out = np.zeros(len(order), bool)
-    out[order] = np.concatenate([np.zeros(0, np.uint8), *flags]).astype(bool)
+def answered(order: np.ndarray, answers: list[dict], kind: type) -> np.ndarray:
+    """Answers by group in the entries' order."""
+    out = np.zeros(len(order), kind)
+    out[order] = np.concatenate([np.zeros(0, kind), *(unpack(x["content"])[0] for x in sorted(answers or [], key=lambda x: x["part"]))])
     return out
 
 
-def ask(work: Workspace, name: str, rows: DataFrame, groups: int, judge: Callable[..., np.ndarray]) -> DataFrame:
-    """block, answers: what judge says of each group's entries. judge gets a group's columns, joined over its blocks."""
+def ask(work: Workspace, name: str, rows: DataFrame, groups: int, judge: Callable[[list[list[np.ndarray]]], np.ndarray], sizes: Callable[[list[np.ndarray]], int]) -> DataFrame:
+    """block, answers: what judge says of each group's entries, block by block. sizes tells how many entries a part has."""
 
     def run(table: pa.Table) -> pa.Table:
         parts = [unpack(x) for x in table.column("content").to_pylist()]
-        flags = judge(*(np.concatenate(columns) for columns in zip(*parts, strict=True)))
-        ends = np.cumsum([len(p[0]) for p in parts])
-        bits = [pack(np.array([len(p[0])]), np.packbits(flags[end - len(p[0]) : end])) for p, end in zip(parts, ends, strict=True)]
-        return pa.table({"block": table.column("block"), "part": table.column("part"), "content": pa.array(bits, pa.binary())})
+        ends = np.cumsum([sizes(p) for p in parts])
+        found = judge(parts)
+        out = [pack(found[start:end]) for start, end in zip(np.append(0, ends), ends, strict=False)]
+        return pa.table({"block": table.column("block"), "part": table.column("part"), "content": pa.array(out, pa.binary())})
 
     found = rows.select("block", "part", "content").repartition(groups, "part").groupBy("part").applyInArrow(run, ANSWERS)
     return work.table(found, name).groupBy("block").agg(F.collect_list(F.struct("part", "content")).alias("answers"))
 
 
-def seen_twice(keys: np.ndarray, twice: np.ndarray) -> np.ndarray:
-    """Sorts the keys and compares neighbours: whether a key stands twice, in its block or over the blocks."""
-    order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
-    same = ranked[1:] == ranked[:-1]
-    out = np.zeros(len(keys), bool)
-    out[order] = np.append(same, False) | np.append(False, same)
-    return out | (twice > 0)
+def places_of(hot: int):
+    """Judges minimisers: 0 for one place, 1 for several, 2 for `hot` or more over all blocks."""
+
+    def judge(parts: list[list[np.ndarray]]) -> np.ndarray:
+        keys, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
+        _, of = np.unique(keys, return_inverse=True)
+        total = np.bincount(of, counts)[of]
+        return (total > 1).astype(np.uint8) + (total >= hot)
+
+    return judge
 
 
 def scan(length: int, groups: int):
@@ -123,7 +131,7 @@ def scan(length: int, groups: int):
 
         def flush() -> pa.RecordBatch:
             found, index, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True, return_counts=True)
-            _, rows = cut_groups(block, even_groups(found, groups), found, (counts > 1).astype(np.uint8))
+            _, rows = cut_groups(block, even_groups(found, groups), found, np.minimum(counts, 65535).astype(np.uint16))
             ends = np.cumsum([0, *(len(p) for p in places)])
             ids = np.frombuffer(b"".join(d["text_id"] for d in docs), np.uint8)
             body = pack(np.array([d["doc_id"] or 0 for d in docs], np.int64), np.array([d["doc_id"] is not None for d in docs], np.uint8), ids, ends, np.concatenate([np.zeros(0, np.uint32), *places]), index.astype(np.uint32), found)
@@ -150,90 +158,139 @@ def scan(length: int, groups: int):
 
 @trimmed
 def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (content, answers) of blocks to the documents that hold repeated minimisers, with these places."""
+    """From (content, answers) of blocks to the documents that hold repeated minimisers, with these places and which of them are hot."""
     for content, answers, count in each(batches, "content", "answers", "groups"):
         ids, known, text_ids, ends, places, index, found = unpack(content)
-        again = answered(np.argsort(even_groups(found, count), kind="stable"), answers)[index]
+        again = answered(np.argsort(even_groups(found, count), kind="stable"), answers, np.uint8)[index]
         out = []
         for k in range(len(ids)):
             part = slice(ends[k], ends[k + 1])
-            if again[part].any():
-                out.append((int(ids[k]) if known[k] else None, text_ids[16 * k : 16 * k + 16].tobytes(), pack(places[part][again[part]])))
-        yield pa.record_batch([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary()), pa.array([r[2] for r in out], pa.binary())], names=["doc_id", "text_id", "places"])
+            flags = again[part]
+            if flags.any():
+                out.append((int(ids[k]) if known[k] else None, text_ids[16 * k : 16 * k + 16].tobytes(), pack(places[part][flags > 0], flags[flags > 0] - 1), int((flags > 0).sum())))
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64())
+        yield pa.record_batch([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=["doc_id", "text_id", "places", "n"])
+
+
+def reach(length: int) -> tuple[int, int]:
+    """How many words before a seed its runs can reach, and how many words right of it a hot seed's right runs have at least."""
+    return length - GRAM, (length + GRAM) // 2
+
+
+def encode_context(words: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
+    """Rows of word numbers as byte planes of numbers that count only the words in them, and the planes of these words' hashes."""
+    used = np.flatnonzero(np.bincount(words.reshape(-1), minlength=len(hashes)))
+    local = np.zeros(len(hashes), np.uint32)
+    local[used] = np.arange(len(used), dtype=np.uint32)
+    return [*planes(local[words].reshape(-1))[:3], *(((hashes[used] >> np.uint64(8 * k)) & np.uint64(255)).astype(np.uint8) for k in range(5))]
+
 
+def decode_context(columns: list[np.ndarray], width: int) -> np.ndarray:
+    """The rows of 40-bit word hashes; 0 stands outside the document."""
+    hashes = sum(c.astype(np.uint64) << np.uint64(8 * k) for k, c in enumerate(columns[3:8]))
+    return hashes[whole(columns[:3])].reshape(-1, width)
 
-def runs(length: int):
-    """A mapInArrow function from (text, text_id, places) to blocks of the runs around seeds.
 
-    A block's body holds, packed, its texts and for each run its document, start and entry; entries are the distinct runs, each with
-    the hashes of its first word, its first GRAM words and all of it, and whether it stands twice in the block.
+def contexts(length: int, groups: int):
+    """A mapInArrow function from (text, text_id, places) to blocks of seeds with their contexts.
+
+    A block's body holds its seeds by document, which distinct entry each is, and its entries in the order in which they go out. An entry goes
+    to its group with its words, the least and the most words by which its own runs start before it, and whether it stands twice in the block.
     """
+    before, far = reach(length)
+    width = before + length
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, block = WordHashes(200_000), TaskContext.get().partitionId() << 32
-        texts, ids, ends, starts, parts, count, size = [], [], [0], [], [], 0, 0
+        texts, ids, ends, parts, count, size = [], [], [0], [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            words, grams, whole = (np.concatenate([np.zeros(0, np.uint64), *p]) for p in zip(*parts, strict=True))
-            found, first, index, counts = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
-            body = pack(np.frombuffer(b"".join(ids), np.uint8), np.array(ends, np.int64), np.concatenate([np.zeros(0, np.uint32), *starts]), index.astype(np.uint32), words[first].astype(np.uint16), grams[first].astype(np.uint32), found, (counts > 1).astype(np.uint8))
-            return rows_of(block, [{"part": BODY, "content": body}, {"part": DOCS, "content": compress(b"\n".join(texts))}])
+            numbers, places, least, most, hot, keys, right, left = (np.concatenate([p[k] for p in parts]) for k in range(8))
+            sizes = np.array([len(p[0]) for p in parts])
+            starts = np.cumsum(sizes) - sizes
+            per_doc = np.diff(ends)
+            vocabulary, index = np.unique(numbers, return_inverse=True)
+            if not len(vocabulary) or vocabulary[0]:
+                vocabulary, index = np.append(np.uint64(0), vocabulary), index + 1
+            rank = np.append(0, 1 + np.argsort(np.argsort(-np.bincount(index, minlength=len(vocabulary))[1:], kind="stable"), kind="stable"))
+            word, named = rank[index].astype(np.uint32), np.zeros_like(vocabulary)
+            named[rank] = vocabulary
+            named = np.where(np.arange(len(named)) > 0, np.maximum(named & np.uint64((1 << 40) - 1), 1), 0).astype(np.uint64)
+            # numbers are padded at both ends, so every context lies within its own document's part
+            at = places.astype(np.int64) + np.repeat(starts, per_doc)
+            mixer = np.cumprod(np.full(width, BASE, np.uint64))
+            digest = np.concatenate([np.zeros(0, np.uint64), *((numbers[at[k : k + STEP, None] + np.arange(width)] * mixer).sum(axis=1, dtype=np.uint64) for k in range(0, len(at), STEP))])
+            _, first, entry, times = np.unique(digest, return_index=True, return_inverse=True, return_counts=True)
+            cool, has_right, has_left = ~hot[first].astype(bool), right[first] > 0, left[first] > 0
+            sent = np.concatenate([np.flatnonzero(cool), np.flatnonzero(~cool & has_right), np.flatnonzero(~cool & has_left)])
+            n_left = int((~cool & has_left).sum())
+            key = np.concatenate([keys[first][cool], right[first][~cool & has_right], left[first][~cool & has_left]])
+            group = even_groups(key, groups)
+            group[len(group) - n_left :] += groups  # a seed must not meet itself
+            order = np.argsort(group, kind="stable")
+            sent, group = sent[order], group[order]
+            names, begin = np.unique(group, return_index=True)
+            rows = []
+            for g, a, b in zip(names.tolist(), begin, np.append(begin, len(group))[1:], strict=True):
+                e = first[sent[a:b]]
+                rows.append({"part": g, "content": pack(*encode_context(word[at[e, None] + np.arange(width)], named), least[e], most[e], (times[sent[a:b]] > 1).astype(np.uint8))})
+            body = pack(np.frombuffer(b"".join(ids), np.uint8), np.array(ends, np.int64), places, entry.astype(np.uint32), sent.astype(np.uint32))
+            return rows_of(block, [{"part": BODY, "content": body}, {"part": DOCS, "content": compress(b"\n".join(texts))}, *rows])
 
         for text, text_id, packed in each(batches, "text", "text_id", "places"):
             found = (text or "").encode().split()
             numbers = hashes.of(found)
             if xxhash.xxh3_128_digest(numbers.tobytes()) != text_id:
                 continue  # another text under the same doc_id
-            grams = run_hashes(numbers, GRAM)
-            at = minimisers(grams, length - GRAM + 1)
-            marked = np.zeros(len(grams), bool)
-            marked[unpack(packed)[0]] = True
-            chosen = np.flatnonzero(marked[at])
+            places, hot = unpack(packed)
+            at, grams = minimisers(run_hashes(numbers, GRAM), before + 1), run_hashes(numbers, GRAM)
+            low, high = np.searchsorted(at, places, "left"), np.searchsorted(at, places, "right") - 1
+            right, left = np.zeros(len(places), np.uint64), np.zeros(len(places), np.uint64)
+            if hot.any():
+                fits, runs = places + far <= len(numbers), run_hashes(numbers, far)
+                right[fits] = np.maximum(runs[places[fits]], 1)
+                back = length - far + 1
+                fits, runs = places >= back, run_hashes(numbers, back + GRAM)
+                left[fits] = np.maximum(runs[places[fits] - back], 1)
+            padded = np.concatenate([np.zeros(before, np.uint64), numbers, np.zeros(length, np.uint64)])
             texts.append(b" ".join(found))
             ids.append(text_id)
-            ends.append(ends[-1] + len(chosen))
-            starts.append(chosen.astype(np.uint32))
-            parts.append((numbers[chosen], grams[chosen], run_hashes(numbers, length)[chosen]))
-            count, size = count + len(chosen), size + len(texts[-1])
-            if count >= WORDS // 4 or size >= BYTES // 2:
+            ends.append(ends[-1] + len(places))
+            parts.append((padded, places, (places - high).astype(np.uint8), (places - low).astype(np.uint8), hot, grams[places], right, left))
+            count, size = count + len(places), size + len(texts[-1])
+            if count >= SEEDS or size >= BYTES // 2:
                 yield flush()
                 block += 1
-                texts, ids, ends, starts, parts, count, size = [], [], [0], [], [], 0, 0
+                texts, ids, ends, parts, count, size = [], [], [0], [], 0, 0
         if ids:
             yield flush()
 
     return run
 
 
-def grouped(assign: Callable[..., np.ndarray]):
-    """A mapInArrow function from blocks' bodies to their groups' rows."""
-
-    @trimmed
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, content in each(batches, "block", "content"):
-            *_, words, grams, whole, twice = unpack(content)
-            _, rows = cut_groups(block, assign(words, grams, whole), grams, whole, twice)
-            yield pa.RecordBatch.from_pylist([{"block": block, **r} for r in rows], schema=pa.schema([("block", pa.int64()), ("part", pa.int32()), ("content", pa.binary())]))
-
-    return run
+def bits(least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Numbers whose bits `least` to `most` are set; none where most is less."""
+    low, high = least.astype(np.uint64), np.maximum(most.astype(np.int64) + 1, least).astype(np.uint64)
+    return (np.uint64(1) << high) - (np.uint64(1) << low)
 
 
-def removed(length: int, assign: Callable[..., np.ndarray]):
+def removed(length: int):
     """A mapInArrow function from (content, texts, answers) to the words that repeated runs cover, by document."""
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for content, texts, answers in each(batches, "content", "texts", "answers"):
-            ids, ends, starts, index, words, grams, whole, _ = unpack(content)
-            again = answered(np.argsort(assign(words, grams, whole), kind="stable"), answers)[index]
-            out = []
+            ids, ends, places, entry, sent = unpack(content)
+            masks = np.zeros(int(entry.max()) + 1, np.uint64)
+            np.bitwise_or.at(masks, sent, answered(np.arange(len(sent)), answers, np.uint64))
+            masks, out = masks[entry], []
             for k, text in enumerate(expand(texts).split(b"\n")):
                 part = slice(ends[k], ends[k + 1])
-                at = starts[part][again[part]].astype(np.int64)
-                if not len(at):
+                seed, back = np.nonzero(masks[part, None] >> np.arange(length - GRAM + 1, dtype=np.uint64) & np.uint64(1))
+                if not len(seed):
                     continue
-                found = text.split(b" ")
+                at, found = places[part][seed].astype(np.int64) - back, text.split(b" ")
                 cover = np.zeros(len(found) + 1, np.int32)
                 np.add.at(cover, at, 1)
                 np.add.at(cover, at + length, -1)
@@ -246,39 +303,45 @@ def removed(length: int, assign: Callable[..., np.ndarray]):
     return run
 
 
-class Repeats:
-    """Scan, seeds and runs of docs (doc_id, text); finish() takes how runs are grouped and judged."""
-
-    def __init__(self, spark: SparkSession, docs: DataFrame, name: str, length: int, groups: int = 64):
-        if length < GRAM:
-            raise ValueError(f"a run has {GRAM} words at least")
-        self.work, self.length = Workspace(spark, name), length
-        self.groups = max(groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        blocks = self.work.table(text.mapInArrow(scan(length, self.groups), BLOCKS), "blocks")
-        self.docs = blocks.where(f"part = {DOCS}").select("doc_id", "n_words", "whole_sha256", "text_id")
-        answers = ask(self.work, "minimisers", blocks.where("part >= 0"), self.groups, seen_twice)
-        bodies = blocks.where(f"part = {BODY}").select("block", "content").join(answers, "block").select("content", "answers", F.lit(self.groups).alias("groups"))
-        found = bodies.mapInArrow(seeds, "doc_id long, text_id binary, places binary")
-        found = self.work.table(found.groupBy("text_id").agg(F.min("doc_id").alias("doc_id"), F.first("places").alias("places")), "seeds")
-        ids = found.select(F.col("doc_id").alias("id")).distinct()
-        wanted = text.join(F.broadcast(ids) if ids.count() <= IDS else ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-        texts = wanted.join(found.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "text_id", "places")
-        self.runs = self.work.table(texts.mapInArrow(runs(length), BLOCKS), "runs")
-        self.bodies = self.runs.where(f"part = {BODY}").select("block", "content")
-
-    def finish(self, assign: Callable[..., np.ndarray], judge: Callable[..., np.ndarray]) -> DataFrame:
-        """doc_id, n_words, n_removed, n_spans, kept_sha256 of every document."""
-        rows = self.bodies.mapInArrow(grouped(assign), ANSWERS)
-        answers = ask(self.work, "answers", rows, self.groups, judge)
-        texts = self.runs.where(f"part = {DOCS}").select("block", F.col("content").alias("texts"))
-        found = self.bodies.join(texts, "block").join(answers, "block").select("content", "texts", "answers").mapInArrow(removed(self.length, assign), "text_id binary, n_removed long, n_spans long, kept_sha256 string")
-        found = self.work.table(found.dropDuplicates(["text_id"]), "found")
-        copies = self.docs.where(F.col("n_words") >= self.length).groupBy("text_id").agg(F.count("*").alias("copies")).where("copies > 1")
-        whole = F.col("copies").isNotNull()
-        nothing = hashlib.sha256(b"").hexdigest()
-        return self.docs.join(found, "text_id", "left").join(copies, "text_id", "left").select(
-            "doc_id", "n_words", F.when(whole, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-            F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-            F.when(whole, nothing).otherwise(F.coalesce("kept_sha256", "whole_sha256")).alias("kept_sha256"),
-        )
+#: Of a group's seeds: words (a row each, 0 outside the document), the least and the most words that its runs start before it, whether it stands
+#: twice in its block; the answer has bit a set if the run that starts a words before the seed is repeated.
+Judge = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+def find_repeats(spark: SparkSession, docs: DataFrame, name: str, length: int, judge: Judge, hot: int = HOT, groups: int = 64) -> DataFrame:
+    """doc_id, n_words, n_removed, n_spans, kept_sha256 of every row of docs (doc_id, text)."""
+    if not GRAM <= length <= 64:
+        raise ValueError(f"a run has {GRAM} words at least and 64 at most")
+    work = Workspace(spark, name)
+    groups = max(groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    blocks = work.table(text.mapInArrow(scan(length, groups), BLOCKS), "blocks")
+    all_docs = blocks.where(f"part = {DOCS}").select("doc_id", "n_words", "whole_sha256", "text_id")
+    answers = ask(work, "minimisers", blocks.where("part >= 0"), groups, places_of(hot), lambda p: len(p[0]))
+    bodies = blocks.where(f"part = {BODY}").select("block", "content").join(answers, "block").select("content", "answers", F.lit(groups).alias("groups"))
+    found = bodies.mapInArrow(seeds, "doc_id long, text_id binary, places binary, n long")
+    found = work.table(found.groupBy("text_id").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("places", "n")).alias("of")).select("text_id", "doc_id", "of.*"), "seeds")
+    ids = found.select(F.col("doc_id").alias("id")).distinct()
+    n_seeds, n_ids = found.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("doc_id")).first()
+    groups = min(MOST_GROUPS, max(groups, n_seeds // PER_GROUP))
+    wanted = text.join(F.broadcast(ids) if n_ids <= IDS else ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    texts = wanted.join(found.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "text_id", "places")
+    sent = work.table(texts.mapInArrow(contexts(length, groups), BLOCKS), "contexts")
+    width = reach(length)[0] + length
+
+    def judged(parts: list[list[np.ndarray]]) -> np.ndarray:
+        words = np.concatenate([decode_context(p, width) for p in parts])
+        return judge(words, *(np.concatenate(c) for c in zip(*(p[8:] for p in parts), strict=True)))
+
+    answers = ask(work, "answers", sent.where("part >= 0"), groups, judged, lambda p: len(p[8]))
+    bodies = sent.where(f"part = {BODY}").select("block", "content")
+    held = sent.where(f"part = {DOCS}").select("block", F.col("content").alias("texts"))
+    spans = bodies.join(held, "block").join(answers, "block").select("content", "texts", "answers").mapInArrow(removed(length), "text_id binary, n_removed long, n_spans long, kept_sha256 string")
+    spans = work.table(spans.dropDuplicates(["text_id"]), "found")
+    copies = all_docs.where(F.col("n_words") >= length).groupBy("text_id").agg(F.count("*").alias("copies")).where("copies > 1")
+    gone, nothing = F.col("copies").isNotNull(), hashlib.sha256(b"").hexdigest()
+    return all_docs.join(spans, "text_id", "left").join(copies, "text_id", "left").select(
+        "doc_id", "n_words", F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+        F.when(gone, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(gone, nothing).otherwise(F.coalesce("kept_sha256", "whole_sha256")).alias("kept_sha256"),
+    )

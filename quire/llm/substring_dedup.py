@@ -1,100 +1,98 @@
 """Substring dedup with prefix-partitioned suffix trees.
 
-A suffix tree over words, cut off at `length` words, is split by prefixes of variable length into groups that fit into memory.
-Suffixes are counted by their first word; first words with few suffixes share a group, a first word with more than a group's worth is
-split by a longer prefix. Suffixes of equal words are one leaf with a weight, so a hot passage does not make a group larger.
-A group's task sorts its leaves and reads the subtree off as intervals of common prefixes; the internal nodes at full depth
-are the repeated runs, and neighbouring starts under such nodes make up a maximal repeat. Every word that one covers is
-removed, judged on the input. Suffixes enter a tree only if their run may be repeated (see repeats).
+The suffixes that start a run are cut off at `length` words. Groups of seeds (see repeats) are memory-sized and hold all suffixes that
+can share `length` words. Within a group, suffixes are counted by their first word; first words with few suffixes share a subtree, one with
+more than a subtree's worth is split by the second word, and so on, so prefixes have the length that their suffixes need.
+A subtree's suffixes are sorted by their words. The common prefixes of neighbours give its internal nodes, as the widest intervals of
+leaves that share so many words; leaves under the nodes of full depth are repeated runs, and neighbouring starts among these make up a
+maximal repeat. Every word that one covers is removed, judged on the input.
 
 Cases: a null text has no words; texts of fewer words than a run lose nothing; repeated rows are copies of each other
 and lose all words if they have a run; a word that repeats itself for longer than a run is removed; an empty table gives no
-rows; a null doc_id stays null; other columns are ignored.
+rows; a null doc_id stays null; different texts under one doc_id are each judged; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from quire.llm.common import unpack
-from quire.llm.repeats import Repeats, each
-
-#: Buckets of first words.
-FIRST = 4096
-
-
-def first_counts(batches):
-    """From blocks' bodies to the distinct suffixes by bucket of their first word."""
-    for (content,) in each(batches, "content"):
-        *_, words, _, _, _ = unpack(content)
-        counts = np.bincount(words % FIRST, minlength=FIRST)
-        yield pa.record_batch([pa.array(np.flatnonzero(counts)), pa.array(counts[counts > 0])], names=["bucket", "n"])
-
-
-def plan(counts: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each bucket its first group, and among how many groups a longer prefix deals it."""
-    worth = max(1, int(counts.sum()) // groups)
-    parts = np.maximum(1, counts // worth)
-    base, now, held = np.zeros(len(counts), np.int64), 0, 0
-    for k, count in enumerate(counts.tolist()):
-        if parts[k] > 1 or held + count > worth:
-            now, held = now + (held > 0), 0
-        base[k] = now
-        if parts[k] > 1:
-            now += int(parts[k])
-        else:
-            held += count
-    return base, parts
-
-
-def by_prefix(base: np.ndarray, parts: np.ndarray):
-    def assign(words: np.ndarray, grams: np.ndarray, whole: np.ndarray) -> np.ndarray:
-        bucket = words % FIRST
-        return base[bucket] + grams.astype(np.int64) % parts[bucket]
-
-    return assign
-
-
-def internal_nodes(grams: np.ndarray, whole: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
-    """The order of the leaves, and the subtree's internal nodes as (level, first leaf, end): level 1 is a common prefix of a few words, level 2 full depth."""
-    order = np.lexsort((whole, grams))
-    nodes = []
-    change = np.append(True, grams[order][1:] != grams[order][:-1])
-    for level in (1, 2):
-        if level == 2:
-            change |= np.append(True, whole[order][1:] != whole[order][:-1])
-        first = np.flatnonzero(change)
-        end = np.append(first[1:], len(order))
-        total = np.add.reduceat(weights[order], first) if len(first) else weights[:0]
-        nodes.append((level, first[total > 1], end[total > 1]))
-    return order, nodes
-
-
-def deep(grams: np.ndarray, whole: np.ndarray, twice: np.ndarray) -> np.ndarray:
-    """Whether each leaf stands under an internal node of full depth."""
-    if not len(whole):
-        return np.zeros(0, bool)
-    order, nodes = internal_nodes(grams, whole, 1 + twice.astype(np.int64))
-    _, first, end = nodes[-1]
-    edge = np.zeros(len(order) + 1, np.int64)
-    edge[first] += 1
-    edge[end] -= 1
-    out = np.zeros(len(order), bool)
-    out[order] = np.cumsum(edge[:-1]) > 0
-    return out
-
-
-def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 35) -> DataFrame:
+
+from quire.llm.repeats import HOT, bits, find_repeats, reach
+
+#: Suffixes of a subtree, and bytes of a word.
+LEAVES, WORD = 50_000, 5
+
+
+def subtrees(words: np.ndarray, row: np.ndarray, start: np.ndarray, length: int, most: int) -> Iterator[np.ndarray]:
+    """Cuts suffixes (their row in words and start in the row) into groups by prefixes of variable length: at most so many in a group, or all equal."""
+    waiting = [(np.arange(len(row)), 0)]
+    while waiting:
+        held, depth = waiting.pop()
+        if len(held) <= most or depth == length:
+            yield held
+            continue
+        word = words[row[held], start[held] + depth]
+        order = np.argsort(word, kind="stable")
+        held, word = held[order], word[order]
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        ends = np.append(first[1:], len(held))
+        at = 0
+        while at < len(first):
+            upto = int(np.searchsorted(ends, first[at] + most, "right"))
+            if upto > at:
+                yield held[first[at] : ends[upto - 1]]
+            else:
+                upto = at + 1
+                waiting.append((held[first[at] : ends[at]], depth + 1))
+            at = upto
+
+
+def common_prefixes(keys: np.ndarray) -> np.ndarray:
+    """How many words each sorted suffix shares with the one before it; 0 for the first."""
+    raw = keys.view(np.uint8).reshape(len(keys), -1)
+    differ = raw[1:] != raw[:-1]
+    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), raw.shape[1]) // WORD
+    return np.append(0, shared)
+
+
+def internal_nodes(shared: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """First leaf and end of the subtree's internal nodes of at least this depth that lie under no other such node."""
+    deep = np.append(shared >= depth, False)
+    opens, closes = np.flatnonzero(~deep[:-1] & deep[1:]), np.flatnonzero(deep[:-1] & ~deep[1:])
+    return opens, closes + 1
+
+
+def judge(length: int, most: int = LEAVES):
+    before, _ = reach(length)
+
+    def run(words: np.ndarray, low: np.ndarray, high: np.ndarray, twice: np.ndarray) -> np.ndarray:
+        counts = high.astype(np.int64) - low + 1
+        row = np.repeat(np.arange(len(words)), counts)
+        back = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + low[row]
+        found = np.where(twice > 0, bits(low, high), np.uint64(0))
+        flat = np.ascontiguousarray(words.astype(">u8").view(np.uint8).reshape(len(words), -1, 8)[:, :, 8 - WORD :]).reshape(-1)
+        if not len(row):
+            return found
+        suffixes = np.ndarray((len(flat) - length * WORD + 1,), f"S{length * WORD}", flat, strides=(1,))
+        for held in subtrees(words, row, before - back, length, most):
+            keys = suffixes[(row[held] * words.shape[1] + before - back[held]) * WORD]
+            order = np.argsort(keys, kind="stable")
+            first, end = internal_nodes(common_prefixes(keys[order]), length)
+            edge = np.zeros(len(held) + 1, np.int64)
+            edge[first] += 1
+            edge[end] -= 1
+            leaves = held[order[np.cumsum(edge[:-1]) > 0]]
+            np.bitwise_or.at(found, row[leaves], np.uint64(1) << back[leaves].astype(np.uint64))
+        return found
+
+    return run
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 35, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, n_spans, kept_sha256 of every row of docs (doc_id, text)."""
-    found = Repeats(spark, docs, "substring-dedup", length)
-    sums = found.bodies.mapInArrow(first_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(FIRST, np.int64)
-    for row in sums:
-        counts[row.bucket] = row.n
-    return found.finish(by_prefix(*plan(counts, found.groups)), deep)
+    return find_repeats(spark, docs, "substring-dedup", length, judge(length), hot)
 
 
 def oracle(length: int) -> str:

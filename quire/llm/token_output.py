@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import Workspace, caches, trimmed
+from quire.llm.common import Workspace, caches, portions, trimmed
 
 MANIFEST = "part int, data string, places string, n_docs long, n_tokens long"
 CACHED = 1_000_000
@@ -143,16 +143,6 @@ def encoder(vocabulary: str) -> ChunkEncoder:
     return caches[vocabulary]
 
 
-def portions(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of the batch whose texts (column 1) have at most so many bytes, or one row."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
-    at = 0
-    while at < batch.num_rows:
-        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
-        yield batch.slice(at, upto - at)
-        at = upto
-
-
 def opened(uri: str):
     """The file system of a URI or a plain path, and the path in it."""
     from pyarrow import fs

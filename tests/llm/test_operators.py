@@ -21,7 +21,7 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 def docs_of(spark, texts, langs=None):
-    rows = [(k, t, langs[k] if langs else "en", None if k % 2 else "src1", "x", "y", "z", "t", "b", "f", "w") for k, t in texts]
+    rows = [(k, t, langs[k] if langs else "en", None if (k or 0) % 2 else "src1", "x", "y", "z", "t", "b", "f", "w") for k, t in texts]
     return spark.createDataFrame(rows, DOCS)
 
 
@@ -100,8 +100,10 @@ def test_media(spark, odd):
         r = found[k]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
     assert found[4].media_sha256 == found[5].media_sha256 and found[4].feature == found[5].feature
-    frames = media.decode_frames(media.to_media(docs_of(spark, [(1, "ab")]))).collect()
-    assert [(f.width, f.height, f.delay_ms) for f in frames] == [(64, 1, 100)] and sum(frames[0].histogram) == 64
+    assert len(found[9].frames) > 1 and sum(sum(f.histogram) for f in found[9].frames) >= found[9].payload_bytes
+    frames = media.decode_frames(media.to_media(docs_of(spark, [(1, "ab"), (None, "c"), (1, "d" * 70)]))).collect()
+    assert [(f.doc_id, f.width, f.height, f.delay_ms) for f in frames] == [(1, 64, 1, 100), (None, 64, 1, 100), (1, 64, 2, 100)] and sum(frames[0].histogram) == 64
+    assert media.digest_media(media.to_media(docs_of(spark, [(None, "c"), (None, "c"), (4, "c")]))).distinct().count() == 2
 
 
 def lzw(pixels, bits):
@@ -165,6 +167,44 @@ def test_lzw_streams():
         for size in (1, 50, 9000):
             pixels = [rng.randrange(1 << bits) if rng.random() < 0.3 else 1 for _ in range(size)]
             assert media.lzw_decode(lzw(pixels, bits), bits, size).tolist() == pixels
+    for size in (64, 3000, 70_000):
+        pixels = bytes(rng.choice(b"abc \xff\0") if rng.random() < 0.7 else rng.randrange(256) for _ in range(size))
+        codes = media.lzw_codes(pixels)
+        assert max(codes) > 257 and plain_lzw(media.pack_codes(codes)) == pixels
+        assert size < 9999 or codes.count(256) > 1 and max(codes) > 2048
+
+
+def plain_lzw(data):
+    """A decoder of eight-bit streams, bit by bit."""
+    bits, at, out = int.from_bytes(data, "little"), 0, b""
+    table, size, last = [], 9, None
+    while True:
+        code, at = bits >> at & ((1 << size) - 1), at + size
+        if code == 257:
+            return out
+        if code == 256:
+            table, size, last = [bytes([k]) for k in range(256)] + [b"", b""], 9, None
+            continue
+        entry = table[code] if code < len(table) else last + last[:1]
+        out += entry
+        if last is not None and len(table) < 4096:
+            table.append(last + entry[:1])
+            size = min(12, max(size, (len(table)).bit_length()))
+        last = entry
+
+
+def test_media_that_break_off():
+    whole = media.encode_gif(bytes(range(64)) * 3000)
+    assert len(list(media.composed(whole))) == 3
+    assert list(media.composed(None)) == list(media.composed(b"")) == list(media.composed(b"PNG and more")) == []
+    for cut in (7, 14, 800, len(whole) // 2, len(whole) - 1):
+        frames = list(media.composed(whole[:cut]))
+        assert len(frames) <= 3 and all(rgb.shape == (1024, 64, 3) for _, rgb in frames)
+    assert media.lzw_decode(b"", 8, 5).tolist() == media.lzw_decode(b"\xff\xff\xff\xff", 8, 5).tolist() == [0] * 5
+    for k in range(300):
+        broken = bytearray(whole[:3000])
+        random.Random(k).shuffle(broken[800:]) if k % 2 else broken.__setitem__(800 + 7 * k, k % 256)
+        list(media.composed(bytes(broken)))
 
 
 def test_chat(spark):
@@ -246,16 +286,29 @@ def test_super_min_hash_estimates():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.05
 
 
-@pytest.mark.parametrize(("remove", "length"), [(substring_dedup.remove_repeats, 35), (suffix_dedup.remove_matches, 50), (substring_dedup.remove_repeats, 9)])
-def test_repeats(spark, odd, remove, length):
-    texts = [*odd, (50, "a b c " * 40), (51, None), (52, odd[3][1][50:900])]
-    words = {k: (t or "").encode().split() for k, t in texts}
-    starts = collections.Counter(tuple(w[p : p + length]) for w in words.values() for p in range(len(w) - length + 1))
-    found = {r.doc_id: r for r in remove(spark, docs_of(spark, texts), length).collect()}
-    for k, w in words.items():
+@pytest.mark.parametrize(("remove", "length", "hot"), [(substring_dedup.remove_repeats, 35, 20_000), (suffix_dedup.remove_matches, 50, 20_000), (substring_dedup.remove_repeats, 9, 20_000), (suffix_dedup.remove_matches, 8, 20_000), (substring_dedup.remove_repeats, 35, 2), (suffix_dedup.remove_matches, 50, 2), (suffix_dedup.remove_matches, 21, 3)])
+def test_repeats(spark, odd, remove, length, hot):
+    """Against brute force, also where every repeated minimiser counts as hot; rows with no id and several texts under one id."""
+    rng, base = random.Random(length), odd[3][1].split()
+    texts = [*odd, (50, "a b c " * 40), (51, None), (52, odd[3][1][50:900]), (None, odd[3][1][200:1100]), (None, "x " + odd[3][1][:300]), (53, "tail " * 3 + odd[3][1][-500:]), (53, odd[3][1][-420:] + " end")]
+    for k in range(60):  # cuts of one text, put together, share words to the left or the right only
+        at, size = rng.randrange(250), rng.randint(10, 70)
+        texts.append((60 + k, " ".join([*(f"own{k}x{n}" for n in range(rng.randint(0, 30))), *base[at : at + size], *base[at + rng.randint(0, 3) : at + rng.randint(4, 60)], f"z{k}"])))
+    words = [(k, (t or "").encode().split()) for k, t in texts]
+    starts = collections.Counter(tuple(w[p : p + length]) for _, w in words for p in range(len(w) - length + 1))
+    want = []
+    for k, w in words:
         gone = {q for p in range(len(w) - length + 1) if starts[tuple(w[p : p + length])] > 1 for q in range(p, p + length)}
-        kept = b" ".join(x for q, x in enumerate(w) if q not in gone)
-        assert (found[k].n_words, found[k].n_removed, found[k].kept_sha256) == (len(w), len(gone), hashlib.sha256(kept).hexdigest())
+        want.append((k, len(w), len(gone), hashlib.sha256(b" ".join(x for q, x in enumerate(w) if q not in gone)).hexdigest()))
+    found = remove(spark, docs_of(spark, texts), length, hot).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted((tuple(r) for r in found), key=repr) == sorted(want, key=repr)
+
+
+def test_subtrees_split_by_longer_prefixes():
+    words = np.array([[1, 1, 1, k // 4 + 1, k % 4 + 1] for k in range(16)], np.uint64)
+    groups = list(substring_dedup.subtrees(words, np.arange(16), np.zeros(16, np.int64), 5, 5))
+    assert sorted(np.concatenate(groups).tolist()) == list(range(16)) and max(map(len, groups)) <= 5
+    assert [len(g) for g in substring_dedup.subtrees(words, np.zeros(9, np.int64), np.zeros(9, np.int64), 5, 5)] == [9]
 
 
 def test_decontamination(spark, odd):
