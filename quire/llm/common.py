@@ -143,19 +143,34 @@ def portions(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
 caches: dict[str, object] = {}
 
 
-def trimmed(function):
-    """A mapInArrow function that drops the worker's caches first and afterwards gives free memory back to the system.
+def give_back() -> None:
+    """Gives free memory back to the system, as a worker is used again by other operators and stages, which would otherwise hold the sum of all peaks."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
-    Workers are used again by other operators and stages, which would otherwise hold the sum of all peaks.
-    """
+
+def trimmed(function):
+    """A mapInArrow function that drops the worker's caches first and afterwards gives free memory back."""
 
     @functools.wraps(function)
     def run(batches):
         caches.clear()
         yield from function(batches)
-        gc.collect()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        give_back()
+
+    return run
+
+
+def trimmed_group(function):
+    """An applyInArrow function that gives free memory back after each group."""
+
+    @functools.wraps(function)
+    def run(table):
+        out = function(table)
+        del table
+        give_back()
+        return out
 
     return run
 

@@ -27,14 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Workspace, compress, expand, pack, planes, trimmed, unpack, whole
+from quire.llm.common import Workspace, compress, expand, pack, planes, trimmed, trimmed_group, unpack, whole
 from quire.llm.hashing import BASE, WordHashes, run_hashes
 
 GRAM = 8
 #: Words and bytes of a block, at least one document; ids up to which a side is broadcast; starts handled at once.
 WORDS, BYTES, IDS, STRIDE = 2_000_000, 16 << 20, 1_000_000, 1 << 19
 #: Seeds of a block and of a group, groups at most, places from which a minimiser is hot, and rows handled at once.
-SEEDS, PER_GROUP, MOST_GROUPS, HOT, STEP = 60_000, 100_000, 16_384, 20_000, 4096
+SEEDS, PER_GROUP, MOST_GROUPS, HOT, STEP = 60_000, 40_000, 16_384, 20_000, 4096
 BLOCKS = "block long, part int, doc_id long, n_words long, whole_sha256 string, text_id binary, content binary"
 ANSWERS = "block long, part int, content binary"
 #: Parts of a block that are no groups.
@@ -98,6 +98,7 @@ def answered(order: np.ndarray, answers: list[dict], kind: type) -> np.ndarray:
 def ask(work: Workspace, name: str, rows: DataFrame, groups: int, judge: Callable[[list[list[np.ndarray]]], np.ndarray], sizes: Callable[[list[np.ndarray]], int]) -> DataFrame:
     """block, answers: what judge says of each group's entries, block by block. sizes tells how many entries a part has."""
 
+    @trimmed_group
     def run(table: pa.Table) -> pa.Table:
         parts = [unpack(x) for x in table.column("content").to_pylist()]
         ends = np.cumsum([sizes(p) for p in parts])
