@@ -34,7 +34,7 @@ GRAM = 8
 #: Words and bytes of a block, at least one document; ids up to which a side is broadcast; starts handled at once.
 WORDS, BYTES, IDS, STRIDE = 2_000_000, 16 << 20, 1_000_000, 1 << 19
 #: Seeds of a block and of a group, groups at most, places from which a minimiser is hot, and rows handled at once.
-SEEDS, PER_GROUP, MOST_GROUPS, HOT, STEP = 60_000, 40_000, 16_384, 20_000, 4096
+SEEDS, PER_GROUP, MOST_GROUPS, HOT, STEP = 25_000, 20_000, 16_384, 20_000, 1024
 BLOCKS = "block long, part int, doc_id long, n_words long, whole_sha256 string, text_id binary, content binary"
 ANSWERS = "block long, part int, content binary"
 #: Parts of a block that are no groups.
@@ -127,7 +127,7 @@ def scan(length: int, groups: int):
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, block = WordHashes(200_000), TaskContext.get().partitionId() << 32
+        hashes, block = WordHashes(100_000), TaskContext.get().partitionId() << 32
         docs, places, keys, words, size = [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -203,7 +203,7 @@ def contexts(length: int, groups: int):
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, block = WordHashes(200_000), TaskContext.get().partitionId() << 32
+        hashes, block = WordHashes(100_000), TaskContext.get().partitionId() << 32
         texts, ids, ends, parts, count, size = [], [], [0], [], 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -260,7 +260,7 @@ def contexts(length: int, groups: int):
             ends.append(ends[-1] + len(places))
             parts.append((padded, places, (places - high).astype(np.uint8), (places - low).astype(np.uint8), hot, grams[places], right, left))
             count, size = count + len(places), size + len(texts[-1])
-            if count >= SEEDS or size >= BYTES // 2:
+            if count >= SEEDS or size >= BYTES // 4:
                 yield flush()
                 block += 1
                 texts, ids, ends, parts, count, size = [], [], [0], [], 0, 0
