@@ -27,10 +27,12 @@ _live: list[Workspace] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or where that is unset a new local folder."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir. Where it is unset, a local session gets a new local folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not jvm_dir.isDefined() and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         found = jvm_dir.get() if jvm_dir.isDefined() else f"file://{tempfile.mkdtemp(prefix='quire-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -4,7 +4,7 @@ Words are lower-cased runs without white space; a model gives each character's c
 One model per language is trained on trusted text (labelled of good quality and not toxic), one on text labelled toxic. All
 labelled text outside the hold-out third is counted; nothing is capped. Every document gets its perplexity under the trusted model
 and its peak, the most bits by which one of its words is likelier under the toxic model. A document is rejected if either is above a
-quantile of its language's held-out trusted documents.
+quantile of its language's held-out trusted documents (see limits_of for languages with few of them).
 
 Documents are read once into blocks of one language. A block makes its words distinct and their character runs too, and sends the
 runs with its counts to count shards, one for each language and character before the last. All counts, contexts and shorter runs that
@@ -14,7 +14,7 @@ pairs, a table of one row for each language and character). So shuffles carry on
 
 Cases: null and empty texts have no perplexity and are kept; a null language is "und"; a language without trusted held-out text
 rejects nothing; documents without a label are only scored; repeated labels of one document count as good and toxic if any does;
-repeated rows give one result row each; an empty table gives no rows; a null doc_id has no label; characters from
+repeated rows give one result row each; a document at a limit is kept; an empty table gives no rows; a null doc_id has no label; characters from
 U+0C00 on share 1024 classes; other columns are ignored.
 """
 
@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Interner, Workspace, pack, planes, unpack, whole, trimmed
+from quire.llm.common import Interner, Workspace, pack, planes, trimmed, trimmed_group, unpack, whole
 from quire.llm.repeats import each
 
 ORDER, BITS = 5, 12
@@ -37,6 +37,8 @@ BLOCKS = "block long, lang string, part int, content binary"
 PAIRS, DOCS = -2, -1
 #: Distinct words and words of a block, and labels up to which they are broadcast.
 WORDS, RUNNING, LABELS = 125_000, 1_000_000, 2_000_000
+#: Held-out trusted documents from which a language's own quantile is its limit: two are above it.
+ENOUGH = 400
 SCORES = "doc_id long, lang string, use int, perplexity double, peak double"
 #: What a document is used for.
 NOTHING, TRUSTED, TOXIC, HELD_OUT = 0, 1, 2, 3
@@ -159,6 +161,7 @@ def judge(bases: dict[tuple[str, int], dict[int, int]]):
             counts[character] = n
         return (counts + 0.5) / (counts.sum() + 0.5 * len(counts))
 
+    @trimmed_group
     def run(table: pa.Table) -> pa.Table:
         parts = [unpack(x) for x in table.column("content").to_pylist()]
         found, of = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
@@ -225,6 +228,23 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, quantile:
     answers = blocks.where("part >= 0").groupBy("lang", "part").applyInArrow(judge(bases), "block long, part int, content binary").groupBy("block").agg(F.collect_list(F.struct("part", "content")).alias("answers"))
     bodies = blocks.where(f"part = {DOCS}").select("block", "lang", "content")
     scores = work.table(bodies.join(answers, "block", "left").select("lang", "content", "answers").mapInArrow(score, SCORES), "scores")
-    limits = scores.where(f"use = {HELD_OUT}").groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 100_000).alias("most_perplexity"), F.percentile_approx("peak", quantile, 100_000).alias("most_peak"))
+    limits = work.table(limits_of(scores.where(f"use = {HELD_OUT}").select("lang", "perplexity", "peak"), quantile), "limits")
+    limits = F.broadcast(limits) if limits.count() <= LABELS else limits
     above = F.coalesce((F.col("perplexity") > F.col("most_perplexity")) | (F.col("peak") > F.col("most_peak")), F.lit(False))
     return scores.join(limits, "lang", "left").select("doc_id", "lang", "perplexity", "most_perplexity", "peak", "most_peak", (~above).alias("kept"))
+
+
+def limits_of(held: DataFrame, quantile: float) -> DataFrame:
+    """lang, most_perplexity and most_peak of held-out trusted documents (lang, perplexity, peak).
+
+    A language with ENOUGH of them has its own quantiles. In one with fewer a single wrong label would be the quantile, so there
+    the limit is the language's median and as many of its median deviations as the same quantile of all languages together.
+    """
+    names = ("perplexity", "peak")
+    near = lambda c, q: F.percentile_approx(c, q, 100_000)
+    own = held.groupBy("lang").agg(F.count("*").alias("n"), *(near(x, quantile).alias(f"own_{x}") for x in names), *(near(x, 0.5).alias(f"mid_{x}") for x in names))
+    off = held.join(own, "lang")
+    spread = off.groupBy("lang").agg(*(F.greatest(near(F.abs(F.col(x) - F.col(f"mid_{x}")), 0.5), F.lit(1e-3)).alias(f"dev_{x}") for x in names))
+    pooled = off.join(spread, "lang").agg(*(near((F.col(x) - F.col(f"mid_{x}")) / F.col(f"dev_{x}"), quantile).alias(f"far_{x}") for x in names)).first()
+    limit = lambda x: F.when(F.col("n") >= ENOUGH, F.col(f"own_{x}")).otherwise(F.col(f"mid_{x}") + F.lit(pooled[f"far_{x}"]).cast("double") * F.col(f"dev_{x}"))
+    return own.join(spread, "lang").select("lang", *(limit(x).alias(f"most_{x}") for x in names))

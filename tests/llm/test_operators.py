@@ -360,3 +360,12 @@ def test_quality(spark, odd):
     assert not any(found[k].kept for k in held if k % 5 == 0) and sum(found[k].kept for k in held if k % 5) >= 0.97 * 240
     assert not any(found[k].kept for k in range(2000, 2020))
     assert found[1].kept and found[1].perplexity is None and found[2].perplexity is None and found[10].kept and len(found) == len(texts) + len(odd)
+
+
+def test_one_wrong_label_does_not_set_a_limit(spark):
+    rng = random.Random(3)
+    rows = [("en", rng.gauss(50, 3), rng.gauss(5, 1)) for _ in range(2000)] + [("de", rng.gauss(60, 3), rng.gauss(6, 1)) for _ in range(100)] + [("de", 400.0, 80.0), ("xx", 9.0, 1.0)]
+    found = {r.lang: r for r in quality.limits_of(spark.createDataFrame(rows, "lang string, perplexity double, peak double"), 0.995).collect()}
+    assert 55 < found["en"].most_perplexity < 60 and 7 < found["en"].most_peak < 9
+    assert 64 < found["de"].most_perplexity < 75 and 8 < found["de"].most_peak < 12 and found["xx"].most_peak < 1.1
+    assert not quality.limits_of(spark.createDataFrame([], "lang string, perplexity double, peak double"), 0.995).collect()

@@ -26,3 +26,21 @@ def test_rows_of_one_id_or_none_are_decided_each_for_itself(spark, tmp_path):
     found = lambda name: sorted(((r.doc_id, r.text) for r in stages[name](spark, docs, str(tmp_path)).collect()), key=repr)
     assert found("decontamination") == sorted((r for r in rows if item not in (r[1] or "")), key=repr)
     assert found("near_dedup") == sorted({*rows} - {(9, base[1] + " tail")}, key=repr)
+
+
+def test_odd_rows_go_through_all_stages(spark, tmp_path):
+    """Null and empty texts and ids, repeated rows and a column of an operator's name; a second run leaves the first one's result."""
+    long = " ".join(f"w{k % 997}" for k in range(30_000))
+    rows = [(1, None), (2, ""), (None, None), (None, "one"), (3, "alpha beta"), (3, "alpha beta"), (4, long), (5, " ")]
+    docs = spark.createDataFrame([(k, t, None if k == 1 else "en", None if k == 2 else "src1", "b") for k, t in rows], "doc_id long, text string, lang string, source string, block string")
+    for name, table in (("documents", docs), ("labels", spark.createDataFrame([(None, 1, 0), (3, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")), ("benchmark", spark.createDataFrame([(1, None), (None, "gamma")], "item_id long, text string"))):
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        stage(spark, kept, str(tmp_path)).write.parquet(str(tmp_path / name))
+        kept = spark.read.parquet(str(tmp_path / name))
+        assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(rows[:4] + rows[5:], key=repr)
+    first = corpus_pipeline.run(spark, str(tmp_path))
+    count = first.count()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == first.count() == count
