@@ -1,7 +1,9 @@
 """Corpus pipeline: quality, near duplicates, contamination, mixing, token files; each stage on all that the one before kept.
 
 Every stage but the last returns its documents with the columns of the table. Decisions are of rows, not of doc_ids, so rows
-without a doc_id or with one that others have go through all stages like any other. A stage's tables in the shared folder are dropped when the next stage starts, as its result has been written by then.
+without a doc_id or with one that others have go through all stages like any other. Null and empty texts pass the first three stages;
+an empty table gives empty results; further columns are carried along, whatever their names, but for _key, _id, _text and repeated. A stage's
+tables in the shared folder are dropped when the next stage starts, as its result has been written by then; the last one's stay.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the quality models keep. Labels are found by doc_id, so equal rows share a fate; rows without text, label or doc_id are judged by what they have."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").cast("long").alias("_id"), "quality", "toxic")
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), key_of(docs).alias("doc_id"))
     decided = quality.classify(spark, keyed(docs), rows.join(labels, "_id").select("doc_id", "quality", "toxic"))
@@ -51,6 +54,7 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a benchmark window; rows without words have none, and equal rows share a fate."""
     decided = decontaminate.decontaminate(spark, keyed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return keep(docs, decided.withColumnRenamed("doc_id", "_key"), "not contaminated")
 
@@ -62,23 +66,27 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each document from the token files; a null text has its end id only, a null doc_id stays null."""
     return token_output.read_tokens(token_output.write_tokens(spark, docs))
 
 
-def staged(function: Stage) -> Stage:
+def staged(function: Stage, last: bool) -> Stage:
+    """The stage with its tables dropped when the next one starts; the last one's stay, as the result of a run reads them."""
+
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ship(spark)
         while _ours:
             _ours.pop().drop()
         before = live_workspaces()
         out = function(spark, docs, sf_dir)
-        _ours.extend(w for w in live_workspaces() if w not in before)
+        if not last:
+            _ours.extend(w for w in live_workspaces() if w not in before)
         return out
 
     return run
 
 
-STAGES: list[tuple[str, Stage]] = [(name, staged(f)) for name, f in (("quality", classify), ("near_dedup", dedup), ("decontamination", clean), ("mixing", mix), ("token_output", tokens))]
+STAGES: list[tuple[str, Stage]] = [(name, staged(f, f is tokens)) for name, f in (("quality", classify), ("near_dedup", dedup), ("decontamination", clean), ("mixing", mix), ("token_output", tokens))]
 
 #: Models and token files cannot be said in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
