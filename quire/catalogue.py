@@ -165,12 +165,6 @@ def v003_space_loss(spark, sf_dir):
     return rows.where("prefix is not null").join(known, "low", "left_anti").select("doc_id", "ln_pos", "tok_pos", "token", "prefix")
 
 
-@query("v005_zero_structure", f"WITH {_TYPED} SELECT doc_id, count(*) AS block_count, CAST(sum({_WORDS}) AS BIGINT) AS word_count, count(*) > 20 AND sum({_WORDS}) > 1000 AND count(*) FILTER (block_type = 'chapter_heading') < 3 AS fires FROM typed GROUP BY doc_id")
-def v005_zero_structure(spark, sf_dir):
-    found = detect.stats(_typed(spark, sf_dir))
-    return found.select("doc_id", "block_count", "word_count", ((F.col("block_count") > 20) & (F.col("word_count") > 1000) & (F.col("chapter_count") < 3)).alias("fires"))
-
-
 @query("normalize_ws", rf"WITH {_BLOCKS} SELECT doc_id, pos, trim(regexp_replace(replace(text, chr(160), ' '), '\s+', ' ', 'g')) AS norm_text FROM blocks")
 def normalize_ws(spark, sf_dir):
     return carriers.dressed_blocks(spark, sf_dir).select("doc_id", "pos", text.normalize_ws(F.col("text")).alias("norm_text"))
@@ -186,6 +180,11 @@ def versioned_key(spark, sf_dir):
     return _table("orders")(spark, sf_dir).select("o_orderkey", text.versioned_key(F.col("o_orderkey").cast("string"), F.col("o_orderpriority"), "2.2", "1.0", "1.2").alias("artifact_key"))
 
 
+@query("legacy_key", "SELECT o_orderkey, 'services/' || o_orderkey || '/manuscript.v1.json' AS artifact_key FROM orders")
+def legacy_key(spark, sf_dir):
+    return _table("orders")(spark, sf_dir).select("o_orderkey", text.legacy_key(F.col("o_orderkey").cast("string")).alias("artifact_key"))
+
+
 @query("sanitize_key", "SELECT p_partkey, replace(replace(trim(p_name || ' / ' || p_partkey || ' '), '/', '_'), ' ', '_') AS key FROM part")
 def sanitize_key(spark, sf_dir):
     return _table("part")(spark, sf_dir).select("p_partkey", text.sanitize_key(F.concat_ws(" ", "p_name", F.lit("/"), F.col("p_partkey").cast("string"), F.lit(""))).alias("key"))
@@ -235,17 +234,12 @@ def order_books_v001(spark, sf_dir):
     return blocks.chapter_continuity(blocks.classify_landmarks(blocks.with_strata(carriers.order_books(spark, sf_dir))))
 
 
-@query("v002_signature", f"WITH {_MARKS}, c AS (SELECT doc_id, pos, CASE WHEN type = 'heading' THEN 'Heading' || heading_level ELSE type END AS signature FROM roles WHERE role = 'chapter_heading'), m AS (SELECT doc_id, signature AS main FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) AS r FROM (SELECT doc_id, signature, count(*) AS n, min(pos) AS f FROM c GROUP BY ALL)) WHERE r = 1) SELECT doc_id, pos, signature FROM c JOIN m USING (doc_id) WHERE signature <> main")
-def v002_signature(spark, sf_dir):
-    return blocks.signature_deviants(blocks.classify_landmarks(_marked(spark, sf_dir)))
-
-
 @query("v004_residue", f"WITH {_BLOCKS}, r(residue) AS (VALUES {', '.join(f'({m!r})' for m in blocks.REVISION_MARKS)}) SELECT doc_id, pos, residue FROM blocks JOIN r ON contains(text, residue)")
 def v004_residue(spark, sf_dir):
     return blocks.revision_residue(carriers.dressed_blocks(spark, sf_dir))
 
 
-@query("n001_collapse_spaces", f"WITH {_BLOCKS} SELECT doc_id, pos, regexp_replace(text, ' {{2,}}', ' ', 'g') AS text FROM blocks")
+@query("n001_collapse_spaces", f"WITH {_BLOCKS} SELECT doc_id, pos, CASE WHEN preformatted THEN text ELSE regexp_replace(text, ' {{2,}}', ' ', 'g') END AS text FROM blocks")
 def n001_collapse_spaces(spark, sf_dir):
     return blocks.collapse_space_runs(carriers.dressed_blocks(spark, sf_dir)).select("doc_id", "pos", "text")
 
@@ -255,7 +249,7 @@ def n001_empty_runs(spark, sf_dir):
     return blocks.drop_empty_runs(carriers.dressed_blocks(spark, sf_dir)).select("doc_id", "pos", "type", "text")
 
 
-@query("n003_zero_width", f"WITH {_BLOCKS} SELECT doc_id, pos, regexp_replace(replace(text, '​', ''), ' {{2,}}', ' ', 'g') AS text FROM blocks")
+@query("n003_zero_width", f"WITH {_BLOCKS} SELECT doc_id, pos, CASE WHEN preformatted THEN text ELSE regexp_replace(replace(text, '​', ''), ' {{2,}}', ' ', 'g') END AS text FROM blocks")
 def n003_zero_width(spark, sf_dir):
     return blocks.drop_zero_width(carriers.dressed_blocks(spark, sf_dir)).select("doc_id", "pos", "text")
 
@@ -265,7 +259,7 @@ def n005_boilerplate(spark, sf_dir):
     return blocks.drop_licence(carriers.dressed_blocks(spark, sf_dir)).select("doc_id", "pos", "type", "text")
 
 
-@query("n004_quotes", f"WITH {_BLOCKS} SELECT doc_id, pos, array_to_string(list_transform(range(1, length(text) + 1), lambda i: CASE WHEN text[i] NOT IN ('\"', '''') THEN text[i] WHEN i = 1 OR text[i - 1] IN (' ', chr(9), chr(10), chr(13), '(', '[', '{{', '<', '—', '–', '‘', '“') THEN CASE text[i] WHEN '\"' THEN '“' ELSE '‘' END ELSE CASE text[i] WHEN '\"' THEN '”' ELSE '’' END END), '') AS text FROM blocks")
+@query("n004_quotes", f"WITH {_BLOCKS} SELECT doc_id, pos, CASE WHEN preformatted THEN text ELSE array_to_string(list_transform(range(1, length(text) + 1), lambda i: CASE WHEN text[i] NOT IN ('\"', '''') THEN text[i] WHEN i = 1 OR text[i - 1] IN (' ', chr(9), chr(10), chr(13), '(', '[', '{{', '<', '—', '–', '‘', '“') THEN CASE text[i] WHEN '\"' THEN '“' ELSE '‘' END ELSE CASE text[i] WHEN '\"' THEN '”' ELSE '’' END END), '') END AS text FROM blocks")
 def n004_quotes(spark, sf_dir):
     return blocks.curl_quotes(carriers.dressed_blocks(spark, sf_dir)).select("doc_id", "pos", "text")
 

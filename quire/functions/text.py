@@ -48,6 +48,10 @@ def versioned_key(submission: Column, sku: Column, schema: str, worker: str, rul
     return F.concat(F.lit("services/"), submission, F.lit("/"), sku, F.lit(f"/manuscript/v{schema}/w{worker}-r{rules}/manuscript.json"))
 
 
+def legacy_key(service: Column) -> Column:
+    return F.concat(F.lit("services/"), service, F.lit("/manuscript.v1.json"))
+
+
 def content_hash(text: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(text.cast("binary"), 256))
 

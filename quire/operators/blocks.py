@@ -5,11 +5,13 @@ Every rule is one pass partitioned by document and ordered by position, so a cha
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.landmarks import match_landmark, match_landmark_lines
-from quire.functions.text import collapse_spaces, curly_quotes, normalize_ws, strip, without_zero_width
+from quire.functions.text import collapse_spaces, curly_quotes, normalize_ws, strip, without_zero_width, word_count
 
 #: Licence boilerplate, residue of revisions, and the role of a type that no rule has classified.
 LICENCE = r"(?i)^(?:the project gutenberg ebook|\*\*\* ?start of (?:the |this )?project gutenberg ebook|\*\*\* ?end of (?:the |this )?project gutenberg ebook|section [0-9]+\. (?:information|general|title)|this ebook is for the use of|updated editions will replace)"
@@ -40,12 +42,18 @@ def dense(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("pos", (F.row_number().over(ordered()) - 1).cast("long"))
 
 
-def _carried(change: Column) -> Column:
-    return F.when(F.col("type").isin(*CARRIERS), change).otherwise(F.col("text"))
+def _changed(blocks: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    """blocks with the texts, and those of their spans, changed; verbatim blocks and types that carry no text stay as they are."""
+    verbatim = F.coalesce("preformatted", F.lit(False)) if "preformatted" in blocks.columns else F.lit(False)
+    open_to_change = F.col("type").isin(*CARRIERS) & ~verbatim
+    columns = {"text": F.when(open_to_change, change(F.col("text"))).otherwise(F.col("text"))}
+    if "spans" in blocks.columns:
+        columns["spans"] = F.when(open_to_change, F.transform("spans", lambda span: span.withField("text", change(span["text"])))).otherwise(F.col("spans"))
+    return blocks.withColumns(columns)
 
 
 def collapse_space_runs(blocks: DataFrame) -> DataFrame:
-    return blocks.withColumn("text", _carried(collapse_spaces(F.col("text"))))
+    return _changed(blocks, collapse_spaces)
 
 
 def drop_empty_runs(blocks: DataFrame) -> DataFrame:
@@ -55,7 +63,7 @@ def drop_empty_runs(blocks: DataFrame) -> DataFrame:
 
 
 def drop_zero_width(blocks: DataFrame) -> DataFrame:
-    return blocks.withColumn("text", _carried(without_zero_width(F.col("text"))))
+    return _changed(blocks, without_zero_width)
 
 
 def drop_licence(blocks: DataFrame) -> DataFrame:
@@ -67,16 +75,26 @@ def drop_licence(blocks: DataFrame) -> DataFrame:
 
 
 def curl_quotes(blocks: DataFrame) -> DataFrame:
-    return blocks.withColumn("text", _carried(curly_quotes(F.col("text"))))
+    return _changed(blocks, curly_quotes)
+
+
+def has_visual(blocks: DataFrame, name: str) -> Column:
+    """Whether a property holds for the whole block: by a tag, or by a mark on every span that is not blank."""
+    if "spans" not in blocks.columns:
+        return has_tag(name)
+    texts = F.filter("spans", lambda span: normalize_ws(span["text"]) != "")
+    return has_tag(name) | F.coalesce((F.size(texts) > 0) & F.forall(texts, lambda span: F.array_contains(span["marks"], name)), F.lit(False))
 
 
-def visually_gated() -> Column:
-    return (F.col("type") == "paragraph") & has_tag("centered") & (has_tag("bold") | has_tag("large_font")) & (F.length(normalize_ws(F.col("text"))) <= SHORT)
+def visually_gated(blocks: DataFrame) -> Column:
+    """A short paragraph that is centred and either bold or large."""
+    emphatic = has_visual(blocks, "bold") | has_visual(blocks, "large_font")
+    return (F.col("type") == "paragraph") & has_visual(blocks, "centered") & emphatic & (F.length(normalize_ws(F.col("text"))) <= SHORT)
 
 
 def with_strata(blocks: DataFrame) -> DataFrame:
     """blocks with stratum (null: cannot carry a landmark) and scan, the landmark found in it."""
-    stratum = F.when(F.col("type") == "heading", F.concat(F.lit("heading:"), F.coalesce("heading_level", F.lit(0)))).when(visually_gated(), "paragraph_visual")
+    stratum = F.when(F.col("type") == "heading", F.concat(F.lit("heading:"), F.coalesce("heading_level", F.lit(0)))).when(visually_gated(blocks), "paragraph_visual")
     if "role" in blocks.columns:
         stratum = F.when(F.col("role").isNull(), stratum)
     rows = blocks.withColumn("stratum", stratum)
@@ -105,7 +123,7 @@ def classify_landmarks(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("dominant", best).withColumn("_in", F.coalesce(F.col("stratum") == F.col("dominant"), F.lit(False)))
     match = F.col("scan.match")
     kind = match["kind"]
-    role = F.when(kind == "part", "part_divider").when((kind == "chapter") & F.col("_in"), "chapter_heading").when((kind == "unnumbered") & (F.col("_in") | visually_gated()), "chapter_heading")
+    role = F.when(kind == "part", "part_divider").when((kind == "chapter") & F.col("_in"), "chapter_heading").when((kind == "unnumbered") & (F.col("_in") | visually_gated(rows)), "chapter_heading")
     label = F.when(kind == "unnumbered", F.coalesce(match["title"], normalize_ws(F.col("text")))).otherwise(F.coalesce(match["title"], F.concat_ws(" ", F.initcap(match["word"]), match["display"])))
     title = F.when(kind == "chapter", F.array_join(F.concat(F.array(label), F.col("scan.captions")), "\n")).otherwise(label)
     earlier = {name: F.col(name) if name in rows.columns else F.lit(None).cast("string") for name in ("role", "subtype")}
@@ -142,6 +160,14 @@ def signature_deviants(rows: DataFrame) -> DataFrame:
     return chapters.withColumn("main", main).where("signature <> main").select("doc_id", "pos", "signature")
 
 
+def zero_structure(rows: DataFrame, most_blocks: int = 50, most_words: int = 5000) -> DataFrame:
+    """doc_id, block_count, word_count, fires: whether a document of more blocks and more words than these has neither chapter nor part."""
+    landmark = F.coalesce(F.col("role").isin("chapter_heading", "part_divider"), F.lit(False))
+    found = rows.groupBy("doc_id").agg(F.count("*").alias("block_count"), F.sum(F.coalesce(word_count(F.col("text")), F.lit(0))).alias("word_count"), F.count_if(landmark).alias("landmarks"))
+    fires = (F.col("landmarks") == 0) & (F.col("block_count") > most_blocks) & (F.col("word_count") > most_words)
+    return found.select("doc_id", "block_count", "word_count", fires.alias("fires"))
+
+
 def revision_residue(blocks: DataFrame) -> DataFrame:
     """doc_id, pos, residue: each mark of unresolved revisions that a block's text holds."""
     found = F.array_compact(F.array(*(F.when(F.contains(F.col("text"), F.lit(m)), F.lit(m)) for m in REVISION_MARKS)))

@@ -13,7 +13,7 @@ from quire.functions.landmarks import CHAPTER_WORDS, PART_WORDS, match_landmark,
 from quire.functions.ordinals import parse_ordinal
 from quire.functions.text import normalize_ws, strip, word_count
 from quire.operators import blocks as rules
-from quire.operators.blocks import SHORT, has_tag, is_empty_line, ordered, so_far
+from quire.operators.blocks import SHORT, has_tag, has_visual, is_empty_line, ordered, so_far
 
 #: Labels, shapes and bounds.
 LANDMARKS = ("chapter_heading", "part_divider")
@@ -235,7 +235,7 @@ def subtitles(rows: DataFrame) -> DataFrame:
     above = F.lag(F.struct("role", "type", "heading_level")).over(_among(F.col("_filled")))
     rows = rows.withColumn("_above", above)
     lower = (F.col("type") == "heading") & (F.col("_above.type") == "heading") & (F.coalesce("heading_level", F.lit(0)) > F.coalesce("_above.heading_level", F.lit(0)))
-    gate = F.when(has_tag("italic"), "italic").when(has_tag("centered"), "centered").when(lower, "level")
+    gate = F.when(has_visual(rows, "italic"), "italic").when(has_visual(rows, "centered"), "centered").when(lower, "level")
     near = F.col("_filled") & F.coalesce(F.col("_above.role").isin(*LANDMARKS), F.lit(False)) & _free() & (F.length("norm") <= SHORT) & _alnum()
     rows = rows.withColumn("gate", F.when(near, gate))
     return _assign(rows, F.col("gate").isNotNull(), "chapter_subtitle", F.col("subtype")).drop("_filled", "_above")

@@ -15,19 +15,19 @@ DRESSED_LINES = """SELECT doc_id, ln_pos, CASE (doc_id + ln_pos) % 17 WHEN 0 THE
 WHEN 2 THEN concat('* ', text) WHEN 3 THEN concat('1) ', text) WHEN 4 THEN '* * *' WHEN 5 THEN concat('About the Author ', text) WHEN 6 THEN concat('Copyright ', text)
 WHEN 7 THEN concat('l ', text) WHEN 8 THEN concat('[Figure] ', text) WHEN 9 THEN concat('[12] ', text) WHEN 10 THEN concat('\u2020', ' a ', '\u2022') ELSE text END AS text FROM {lines}"""
 
-#: Blocks: headings with ordinals of three kinds, centred captions, empty lines, spaces, quotes, licences and residue.
+#: Blocks: headings with ordinals of three kinds (in digits beyond 15), centred captions, empty lines, spaces, quotes, licences, residue and verbatim text.
 DRESSED_BLOCKS = """SELECT doc_id, pos, type, CASE WHEN type = 'heading' THEN CAST(1 + CASE WHEN slot = 0 THEN doc_id % 3 ELSE 3 END AS INT) END AS heading_level,
 CASE WHEN empty_line THEN '' WHEN slot = 0 AND doc_id % 10 = 9 AND pos = 0 THEN 'The Project Gutenberg eBook of nothing'
-WHEN slot = 0 AND (doc_id + n) % 11 = 4 THEN 'Epilogue. The end' WHEN slot = 0 AND (doc_id + n) % 7 = 3 THEN concat('BOOK ', roman) WHEN slot = 0 AND doc_id % 4 = 0 THEN concat('Chapter ', CAST(n + doc_id % 2 AS STRING))
-WHEN slot = 0 AND doc_id % 4 = 1 THEN concat('CHAPTER ', roman, '. The  title') WHEN slot = 0 AND doc_id % 4 = 2 THEN concat('Stave', '\u00a0', word, '.') WHEN slot = 0 THEN concat('Letter', CAST(n * n AS STRING))
-WHEN slot = 1 AND doc_id % 5 = 0 THEN concat('Chapter ', word) WHEN slot = 4 THEN concat('He said "', substr(text, 1, 20), '"  (''so'')') WHEN slot = 5 AND doc_id % 6 = 0 THEN concat('a <w:ins b ', '\u2040') WHEN slot = 6 THEN concat('x', '\u200b', '\u00a0', '\u00a0', 'y ', substr(text, 1, 30)) ELSE text END AS text,
-CASE WHEN empty_line THEN 'empty_line' WHEN slot = 1 AND doc_id % 5 = 0 THEN 'centered,bold' ELSE '' END AS tag_list
+WHEN slot = 0 AND (doc_id + n) % 11 = 4 THEN 'Epilogue. The end' WHEN slot = 0 AND (doc_id + n) % 7 = 3 THEN concat('BOOK ', coalesce(roman, CAST(n AS STRING))) WHEN slot = 0 AND doc_id % 4 = 0 THEN concat('Chapter ', CAST(n + doc_id % 2 AS STRING))
+WHEN slot = 0 AND doc_id % 4 = 1 THEN concat('CHAPTER ', coalesce(roman, CAST(n AS STRING)), '. The  title') WHEN slot = 0 AND doc_id % 4 = 2 THEN concat('Stave', '\u00a0', coalesce(word, CAST(n AS STRING)), '.') WHEN slot = 0 THEN concat('Letter', CAST(n * n AS STRING))
+WHEN slot = 1 AND doc_id % 5 = 0 THEN concat('Chapter ', coalesce(word, CAST(n AS STRING))) WHEN slot = 4 THEN concat('He said "', text, '"  (''so'')') WHEN slot = 5 AND doc_id % 6 = 0 THEN concat('a <w:ins b ', '\u2040') WHEN slot = 6 THEN concat('x', '\u200b', '\u00a0', '\u00a0', 'y ', text) ELSE text END AS text,
+CASE WHEN empty_line THEN 'empty_line' WHEN slot = 1 AND doc_id % 5 = 0 THEN 'centered,bold' ELSE '' END AS tag_list, slot IN (4, 6) AND doc_id % 5 = 1 AS preformatted
 FROM (SELECT doc_id, ln_pos AS pos, text, CAST(ln_pos % 7 AS INT) AS slot, ln_pos % 7 IN (2, 3) AND doc_id % 3 = 1 AS empty_line, CASE WHEN ln_pos % 7 = 0 OR ln_pos % 14 = 12 THEN 'heading' ELSE 'paragraph' END AS type, CAST(floor(ln_pos / 7) AS BIGINT) + 1 AS n FROM {lines}) AS base
 LEFT JOIN (VALUES (1, 'I', 'One'), (2, 'II', 'Two'), (3, 'III', 'Three'), (4, 'IV', 'Four'), (5, 'V', 'Five'), (6, 'VI', 'Six'), (7, 'VII', 'Seven'), (8, 'VIII', 'Eight'), (9, 'IX', 'Nine'), (10, 'X', 'Ten'), (11, 'XI', 'Eleven'), (12, 'XII', 'Twelve'), (13, 'XIII', 'Thirteen'), (14, 'XIV', 'Fourteen'), (15, 'XV', 'Fifteen')) AS nums(k, roman, word) ON k = n"""
 
 #: Pieces of texts, eight blank rows before them and two before each piece.
 PIECES = """SELECT doc_id, CAST(pos AS BIGINT) AS pos, CASE WHEN pos >= 8 AND (pos - 8) % 3 = 2 THEN substr(text, CAST(floor((pos - 8) / 3) AS INT) * size + 1, size) ELSE '' END AS piece"""
-SIZE = "CAST(greatest(100, ceil(length(coalesce(text, '')) / 30.0)) AS INT)"
+SIZE = "CAST(150 AS INT)"
 COUNT = f"CAST(8 + 3 * ceil(length(coalesce(text, '')) / (1.0 * {SIZE})) AS INT)"
 
 #: Books of six kinds: title pages, contents, front and back matter, chapters, subtitles, repeated titles, labels without style.

@@ -188,6 +188,24 @@ def front_matter_carried(spark, sf_dir):
     return structure.carried(_matter(spark, sf_dir))
 
 
+_SIGNED = "SELECT *, CAST(CASE WHEN role = 'chapter_heading' AND pos % 5 = 0 THEN 3 ELSE heading_level END AS INT) AS level FROM {rows}"
+
+
+@query("v002_signature", f"WITH {_BOOKS}, c AS (SELECT doc_id, pos, CASE WHEN type = 'heading' THEN 'Heading' || level ELSE type END AS signature FROM ({_SIGNED.format(rows='books')}) WHERE role = 'chapter_heading'), m AS (SELECT doc_id, signature AS main FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) AS r FROM (SELECT doc_id, signature, count(*) AS n, min(pos) AS f FROM c GROUP BY ALL)) WHERE r = 1) SELECT doc_id, pos, signature FROM c JOIN m USING (doc_id) WHERE signature <> main")
+def v002_signature(spark, sf_dir):
+    """Chapters of some places have another level than the others."""
+    rows = spark.sql(_SIGNED, rows=carriers.dressed_books(spark, sf_dir))
+    return blocks.signature_deviants(rows.withColumn("heading_level", F.col("level")))
+
+
+_WORDS = r"len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''))"
+
+
+@query("v005_zero_structure", f"WITH {_BOOKS} SELECT doc_id, count(*) AS block_count, CAST(sum({_WORDS}) AS BIGINT) AS word_count, count(*) > 50 AND sum({_WORDS}) > 5000 AND count(*) FILTER (role IN ('chapter_heading', 'part_divider')) = 0 AS fires FROM books GROUP BY doc_id")
+def v005_zero_structure(spark, sf_dir):
+    return blocks.zero_structure(carriers.dressed_books(spark, sf_dir))
+
+
 def classify_all(spark, sf_dir):
     """Every classifying rule in order, then the default roles, with title and numbers."""
     rows = structure.classify(blocks.drop_licence(blocks.drop_empty_runs(_books(spark, sf_dir).drop("role"))))

@@ -3,6 +3,7 @@ import zipfile
 
 import pytest
 
+from quire.operators import blocks, structure
 from quire.sources import docx
 
 NAMES = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main" xmlns:a="http://schemas.openxmlformats.org/drawingml/2006/main" xmlns:wp="http://schemas.openxmlformats.org/drawingml/2006/wordprocessingDrawing" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
@@ -106,3 +107,16 @@ def test_scan_leaves_large_files_unread(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(docx, "LIMIT", 10)
     (row,) = docx.scan_docx(spark, str(tmp_path)).collect()
     assert (row.error, row.text) == ("file too large", None)
+
+
+def test_from_a_word_file_to_roles(spark, tmp_path):
+    """Chapters that are centred paragraphs with bold runs make a stratum; verbatim paragraphs stay as they are, in text and spans."""
+    centre, words = '<w:jc w:val="center"/>', ("ONE", "TWO", "THREE", "FOUR")
+    body = "".join(p(r("CHAPTER ", "<w:b/>") + r(" ") + r(w, "<w:b/>"), "", centre) + p(r("A quiet start", "<w:i/>")) + p(r("He  said \"so\"\u200b.")) for w in words)
+    (tmp_path / "book.docx").write_bytes(archive(body + p(r('x  =  "y"'), "Code")))
+    rows = blocks.curl_quotes(blocks.drop_zero_width(blocks.collapse_space_runs(docx.scan_docx(spark, str(tmp_path)))))
+    found = structure.classify(rows).orderBy("pos").collect()
+    assert [(b.role, b.number) for b in found if b.pos % 3 == 0 and b.pos < 12] == [("chapter_heading", k + 1) for k in range(4)]
+    assert [b.role for b in found if b.pos % 3 == 1] == ["chapter_subtitle"] * 4 and {b.dominant for b in found} == {"paragraph_visual"}
+    assert found[2].text == "".join(s.text for s in found[2].spans) == "He said \u201cso\u201d."
+    assert found[12].text == "".join(s.text for s in found[12].spans) == 'x  =  "y"'
