@@ -219,6 +219,12 @@ def c001_landmarks(spark, sf_dir):
     return blocks.classify_landmarks(_marked(spark, sf_dir)).where("role is not null").select("doc_id", "pos", "role", F.col("number").cast("long").alias("number"), "title", "subtype")
 
 
+@query("c001_warnings", f"WITH {_MARKS} SELECT doc_id, pos, 'fused' AS warning, 'low' AS severity, w2 || o2 AS heading, CAST(NULL AS BIGINT) AS lines FROM roles WHERE role IS NOT NULL AND fused")
+def c001_warnings(spark, sf_dir):
+    """Lines hold one landmark each, so none of these is ambiguous; tests hold that case."""
+    return blocks.landmark_warnings(blocks.classify_landmarks(_marked(spark, sf_dir)))
+
+
 @query("terminal_default", f"WITH {_MARKS} SELECT doc_id, coalesce(role, CASE type WHEN 'heading' THEN 'heading' ELSE 'body_paragraph' END) AS role, count(*) AS n FROM roles GROUP BY ALL")
 def terminal_default(spark, sf_dir):
     return blocks.default_roles(blocks.classify_landmarks(_marked(spark, sf_dir))).groupBy("doc_id", "role").agg(F.count("*").alias("n"))

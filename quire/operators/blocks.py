@@ -132,6 +132,15 @@ def classify_landmarks(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"number": F.when(held, match["ordinal"]), "title": F.when(held, title), "subtype": F.when(held, match["subtype"]).otherwise(F.col("subtype")), "section_word": F.when(held, F.rtrim(F.lower(match["word"]), F.lit(".")))}).drop("_n", "_first", "_in", "_role")
 
 
+def landmark_warnings(rows: DataFrame) -> DataFrame:
+    """doc_id, pos, warning, severity, heading, lines of classified landmarks: blocks of the dominant stratum with several matching lines, and fused headings."""
+    ambiguous = F.coalesce(F.col("scan.ambiguous") & (F.col("stratum") == F.col("dominant")), F.lit(False))
+    fused = F.coalesce(F.col("scan.match.fused"), F.lit(False)) & F.col("section_word").isNotNull()
+    found = rows.withColumn("warning", F.when(ambiguous, "ambiguous").when(fused, "fused")).where("warning is not null")
+    heading = F.when(F.col("warning") == "fused", F.concat("scan.match.word", "scan.match.display"))
+    return found.select("doc_id", "pos", "warning", F.when(F.col("warning") == "ambiguous", "medium").otherwise("low").alias("severity"), heading.alias("heading"), F.when(F.col("warning") == "ambiguous", F.col("scan.lines").cast("long")).alias("lines"))
+
+
 def default_roles(rows: DataFrame) -> DataFrame:
     default = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
     return rows.withColumn("role", F.coalesce("role", F.try_element_at(default, F.col("type"))))

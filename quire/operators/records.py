@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import strip
+from quire.functions.text import sanitize_key, strip, word_count
 
 #: Ranks, media types, versions, block types and what a block may carry.
 SEVERITIES = {"low": 0, "medium": 1, "high": 2}
@@ -108,6 +108,24 @@ def resolve(services: DataFrame, projects: DataFrame, books: DataFrame) -> DataF
     return rows.select("id", F.when(held, blank("title")).otherwise(blank("book_title")).alias("title"), F.when(held, blank("subtitle")).alias("subtitle"), F.when(held, blank("author")).otherwise(blank("author_name")).alias("author"))
 
 
+def first_attachment(services: DataFrame, manuscripts: DataFrame) -> DataFrame:
+    """id, url, filename: the first file of the first manuscript that a service links, null where it links none or that one has no file.
+
+    services (id, manuscripts array<string>), manuscripts (manuscript, attachments array<struct<url, filename>>), one row a manuscript.
+    """
+    rows = services.select("id", F.get("manuscripts", F.lit(0)).alias("manuscript")).join(manuscripts, "manuscript", "left")
+    return rows.select("id", F.get("attachments", F.lit(0)).alias("a")).select("id", "a.url", "a.filename")
+
+
+def required_lookups(services: DataFrame) -> DataFrame:
+    """id, intake_id, sku, missing: what a storage key needs, from lookups (arrays); missing names the first field without a value, and then both are null."""
+    found = services.select("id", first_value(F.col("intake_ids")).alias("_intake"), first_value(F.col("skus")).alias("_sku"))
+    missing = F.when(F.col("_intake").isNull(), "Project Intake Submission ID").when(F.col("_sku").isNull(), "Service SKU")
+    found = found.withColumn("missing", missing)
+    whole = F.col("missing").isNull()
+    return found.select("id", F.when(whole, sanitize_key(F.col("_intake"))).alias("intake_id"), F.when(whole, sanitize_key(F.col("_sku"))).alias("sku"), "missing")
+
+
 def transition(status: Column, event: Column, message: Column) -> Column:
     """What an event (claim, complete, fail) makes of a service: status, error_log, blocked."""
     state = F.when(event == "claim", "Processing").when(event == "complete", "Complete").when(event == "fail", "Failed").otherwise(status)
@@ -129,10 +147,14 @@ def intake_conflicts(meta: DataFrame, intake: DataFrame) -> DataFrame:
 
 
 def lineage_chain(parents: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """doc_id, step, type, key, hash, own: an artifact's parents in order and then itself, whose key and hash are not known yet."""
+    """doc_id, step, type, key, hash, own: an artifact's parents in order and then itself, whose key and hash are not known yet.
+
+    version, produced_by and produced_at are carried where both sides have them.
+    """
+    more = [c for c in ("version", "produced_by", "produced_at") if c in parents.columns and c in artifacts.columns]
     own = artifacts.join(parents.groupBy("doc_id").agg(F.max("idx").alias("last")), "doc_id", "left")
-    own = own.select("doc_id", F.coalesce(F.col("last") + 2, F.lit(1)).cast("long").alias("step"), "type", F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("hash"), F.lit(True).alias("own"))
-    return parents.select("doc_id", (F.col("idx") + 1).cast("long").alias("step"), "type", "key", "hash", F.lit(False).alias("own")).unionByName(own)
+    own = own.select("doc_id", F.coalesce(F.col("last") + 2, F.lit(1)).cast("long").alias("step"), "type", F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("hash"), F.lit(True).alias("own"), *more)
+    return parents.select("doc_id", (F.col("idx") + 1).cast("long").alias("step"), "type", "key", "hash", F.lit(False).alias("own"), *more).unionByName(own)
 
 
 def lineage_verify(declared: DataFrame, actual: DataFrame) -> DataFrame:
@@ -143,6 +165,28 @@ def lineage_verify(declared: DataFrame, actual: DataFrame) -> DataFrame:
     return sums.select("doc_id", F.when(F.col("m") == 0, None).otherwise((F.col("n") == F.col("m")) & (F.col("bad") == 0)).alias("valid"), F.when(F.col("n") == F.col("m"), F.col("bad")).otherwise(0).cast("long").alias("mismatches"))
 
 
+def lineage_text(chain: DataFrame) -> DataFrame:
+    """doc_id, lineage: a chain with version, produced_by and produced_at as text, two lines a step; an artifact's own missing fields read None, its parents' by name."""
+    shown = lambda name, absent: F.coalesce(F.col(name).cast("string"), F.when(F.col("own"), "None").otherwise(absent))
+    head = F.concat(F.col("step").cast("string"), F.lit(". "), shown("type", "unknown"), F.lit(" v"), shown("version", "?"), F.lit(" ("), shown("produced_by", "unknown"), F.lit(" @ "), shown("produced_at", "unknown"), F.lit(")"))
+    line = F.concat(head, F.lit("\n   \u2192 "), shown("key", "not yet uploaded"))
+    steps = F.array_sort(F.collect_list(F.struct("step", line.alias("line"))))
+    return chain.groupBy("doc_id").agg(F.array_join(F.transform(steps, lambda s: s["line"]), "\n").alias("lineage"))
+
+
+def trace_source(artifacts: DataFrame, parents: DataFrame) -> DataFrame:
+    """Artifacts (doc_id and the fields of their source) with parent_key, parent_type, parent_hash and known.
+
+    An artifact with parents is traced to the first of them and its own source is not looked at; one without is known by its own source, if that has any field.
+    """
+    first = parents.groupBy("doc_id").agg(F.min_by(F.struct("key", "type", "hash"), "idx").alias("_first"))
+    fields = [c for c in artifacts.columns if c != "doc_id"]
+    rows = artifacts.join(first, "doc_id", "left")
+    own = F.col("_first").isNull()
+    held = F.coalesce(*(F.col(c).cast("string") for c in fields)).isNotNull()
+    return rows.select("doc_id", *(F.when(own, F.col(c)).alias(c) for c in fields), *(F.col(f"_first.{c}").alias(f"parent_{c}") for c in ("key", "type", "hash")), (~own | held).alias("known"))
+
+
 # What artifacts must fulfil
 
 
@@ -184,6 +228,35 @@ def artifacts(rows: DataFrame, worker: str, version: str, schema: str = "2.2") -
     )
 
 
+def artifacts_v1(blocks: DataFrame, sources: DataFrame, worker: str, version: str) -> DataFrame:
+    """One row a document of sources: the nested artifact of schema 1.0, whose language, direction and confidence are fixed.
+
+    blocks (doc_id, pos, type, text and more), sources (doc_id, original_filename, original_format, file_size, file_hash, ingested_at, run_id, project_id,
+    service_id, processed_at). A document without blocks has an empty array and counts of 0.
+    """
+    names = ["pos", *(c for c in blocks.columns if c not in ("doc_id", "pos"))]
+    words = F.sum(F.coalesce(word_count(F.col("text")), F.lit(0))).cast("long")
+    found = blocks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*names))).alias("blocks"), words.alias("_words"), F.count_if(F.col("type") == "chapter_heading").alias("_chapters"))
+    rows = sources.join(found, "doc_id", "left")
+    listed = F.coalesce("blocks", F.array().cast(found.schema["blocks"].dataType))
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<string>")
+    stats = F.struct(F.coalesce("_words", zero).alias("word_count"), F.size(listed).cast("long").alias("block_count"), F.coalesce("_chapters", zero).alias("chapter_count"))
+    return rows.select(
+        "doc_id", F.lit("1.0").alias("schema_version"), F.lit("manuscript").alias("artifact_type"), F.lit("1").alias("artifact_version"),
+        F.struct("original_filename", "original_format", F.col("file_size").alias("original_file_size_bytes"), F.col("file_hash").alias("source_hash_sha256"), "ingested_at").alias("source"),
+        F.struct(F.lit(worker).alias("worker_name"), F.lit(version).alias("worker_version"), "run_id", "project_id", "service_id", "processed_at").alias("processing"),
+        F.struct(F.lit("en").alias("language"), F.lit("ltr").alias("reading_direction"), listed.alias("blocks"), stats.alias("stats")).alias("content"),
+        F.struct(none.alias("warnings"), none.alias("unsupported_elements"), F.struct(F.lit(0.9).alias("chapter_boundary_confidence"), F.lit(False).alias("ocr_used")).alias("quality")).alias("analysis"),
+    )
+
+
+def schema_versions(paths: DataFrame) -> DataFrame:
+    """artifact_type, versions, latest: schema files <type>/<type>.v<version>.schema.json by type; folders that start with _ do not count, versions sort as strings."""
+    pattern = r"(?:^|/)([^/_][^/]*)/\1\.v([^/]*)\.schema\.json$"
+    found = paths.where(F.col("path").rlike(pattern)).select(F.regexp_extract("path", pattern, 1).alias("artifact_type"), F.regexp_extract("path", pattern, 2).alias("version"))
+    return found.groupBy("artifact_type").agg(F.array_sort(F.collect_set("version")).alias("versions"), F.max("version").alias("latest"))
+
+
 def write_artifacts(rows: DataFrame, path: str) -> None:
     """One JSON line a document; fields that are null are left out."""
     rows.write.mode("overwrite").json(path)

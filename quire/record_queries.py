@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire import structure_queries as books
-from quire.operators import records, structure
+from quire.functions import canonical
+from quire.operators import records, registry, structure
 from quire.plans import carriers
 from quire.sources import docx
 
@@ -178,3 +179,76 @@ def artifact_v2(spark, sf_dir):
 @query("signature_label", f"WITH {books._BOOKS} SELECT doc_id, pos, CASE WHEN type = 'heading' THEN 'Heading' || heading_level ELSE type END AS label FROM books")
 def signature_label(spark, sf_dir):
     return carriers.dressed_books(spark, sf_dir).select("doc_id", "pos", records.signature_label(F.col("type"), F.col("heading_level")).alias("label"))
+
+
+@query("service_attachment", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 <> 0 AND c_custkey % 4 <> 0 THEN 'https://files/' || c_name END AS url, CASE WHEN o_orderkey % 3 <> 0 AND c_custkey % 4 <> 0 THEN c_name || '.docx' END AS filename FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def service_attachment(spark, sf_dir):
+    """Orders are services, customers manuscripts; one order in three links none, one customer in four has no file."""
+    key, none = F.col("o_orderkey") % 3, F.array().cast("array<bigint>")
+    links = F.when(key == 1, F.array("o_custkey")).when(key == 2, F.array(F.col("o_custkey"), F.col("o_custkey") + 1)).otherwise(none)
+    file = F.struct(F.concat(F.lit("https://files/"), F.col("c_name")).alias("url"), F.concat("c_name", F.lit(".docx")).alias("filename"))
+    later = F.struct(F.lit("later").alias("url"), F.lit("later").alias("filename"))
+    files = F.when(F.col("c_custkey") % 4 != 0, F.array(file, later)).otherwise(F.filter(F.array(file), lambda x: F.lit(False)))
+    return records.first_attachment(_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), links.alias("manuscripts")), _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("manuscript"), files.alias("attachments")))
+
+
+@query("required_lookups", "SELECT o_orderkey AS id, CASE WHEN missing IS NULL THEN replace(o_orderpriority, ' ', '_') END AS intake_id, CASE WHEN missing IS NULL THEN replace(o_orderstatus || '_' || o_orderpriority, ' ', '_') END AS sku, missing FROM (SELECT *, CASE WHEN o_orderkey % 5 = 0 THEN 'Project Intake Submission ID' WHEN o_orderkey % 7 = 0 THEN 'Service SKU' END AS missing FROM orders)")
+def required_lookups(spark, sf_dir):
+    key, none = F.col("o_orderkey"), F.lit(None).cast("string")
+    intake = F.when(key % 5 == 0, F.array(F.lit(" "), none)).otherwise(F.array(none, F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(" "))))
+    sku = F.when(key % 7 == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat_ws("/", "o_orderstatus", "o_orderpriority"), F.lit("other")))
+    return records.required_lookups(_table(spark, sf_dir, "orders").select(key.alias("id"), intake.alias("intake_ids"), sku.alias("skus")))
+
+
+_STEPS = "SELECT doc_id, idx, CASE WHEN idx % 3 = 2 THEN NULL ELSE type END AS type, key, hash, flag AS version, CASE WHEN idx % 2 = 0 THEN concat('worker_', flag) END AS produced_by, concat('2026-01-0', CAST(idx + 1 AS STRING)) AS produced_at FROM {parents}"
+
+
+@query(
+    "lineage_text",
+    f"WITH p AS ({_PARENTS.format(lineitem='lineitem')}), s AS ({_STEPS.format(parents='p')}), steps AS (SELECT doc_id, idx + 1 AS step, coalesce(type, 'unknown') AS type, version, coalesce(produced_by, 'unknown') AS who, produced_at AS moment, key FROM s UNION ALL SELECT o_orderkey, coalesce((SELECT max(idx) + 2 FROM s WHERE s.doc_id = o_orderkey), 1), 'interior_pdf', '1', 'worker_2', 'None', 'None' FROM orders) SELECT doc_id, string_agg(step || '. ' || type || ' v' || version || ' (' || who || ' @ ' || moment || ')' || chr(10) || '   → ' || key, chr(10) ORDER BY step) AS lineage FROM steps GROUP BY doc_id",
+)
+def lineage_text(spark, sf_dir):
+    parents = spark.sql(_STEPS, parents=_parents(spark, sf_dir)).withColumn("idx", F.col("idx").cast("long"))
+    own = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.lit("interior_pdf").alias("type"), F.lit("1").alias("version"), F.lit("worker_2").alias("produced_by"), F.lit(None).cast("string").alias("produced_at"))
+    return records.lineage_text(records.lineage_chain(parents, own))
+
+
+@query(
+    "trace_source",
+    f"WITH p AS ({_PARENTS.format(lineitem='lineitem')}) SELECT o_orderkey AS doc_id, CASE WHEN p.doc_id IS NULL AND o_orderkey % 2 = 0 THEN o_orderpriority END AS original_filename, CASE WHEN p.doc_id IS NULL AND o_orderkey % 2 = 0 THEN o_orderstatus END AS source_hash, p.key AS parent_key, p.type AS parent_type, p.hash AS parent_hash, p.doc_id IS NOT NULL OR o_orderkey % 2 = 0 AS known FROM orders LEFT JOIN p ON p.doc_id = o_orderkey AND p.idx = 0 AND o_orderkey % 3 <> 0",
+)
+def trace_source(spark, sf_dir):
+    """Orders are artifacts; two in three have parents, and every other one has a source of its own."""
+    own = F.col("o_orderkey") % 2 == 0
+    made = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.when(own, F.col("o_orderpriority")).alias("original_filename"), F.when(own, F.col("o_orderstatus")).alias("source_hash"))
+    return records.trace_source(made, _parents(spark, sf_dir).where("doc_id % 3 <> 0"))
+
+
+@query("artifact_v1", f"WITH {books._BOOKS}, w AS (SELECT doc_id, count(*) AS n, CAST(sum(len(regexp_extract_all(text, '[^\\s]+'))) AS BIGINT) AS words, sha256(string_agg(pos || ':' || type || ':' || text, chr(10) ORDER BY pos)) AS digest FROM books GROUP BY doc_id) SELECT d.doc_id, '1.0' AS schema_version, d.source AS original_filename, 'en' AS language, 'ltr' AS reading_direction, coalesce(words, 0) AS word_count, coalesce(n, 0) AS block_count, CAST(0 AS BIGINT) AS chapter_count, 0.9::DOUBLE AS confidence, digest AS blocks_sha256 FROM documents d LEFT JOIN w ON w.doc_id = d.doc_id")
+def artifact_v1(spark, sf_dir):
+    null = F.lit(None).cast("string")
+    sources = _table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("original_filename"), F.lit("docx").alias("original_format"), F.col("n_chars").alias("file_size"), records.file_hash(F.col("text")).alias("file_hash"), *(null.alias(c) for c in ("ingested_at", "run_id", "project_id", "service_id", "processed_at")))
+    found = records.artifacts_v1(carriers.dressed_books(spark, sf_dir).select("doc_id", "pos", "type", "text"), sources, "structure", "1.0")
+    line = lambda b: F.concat_ws(":", b["pos"].cast("string"), b["type"], b["text"])
+    digest = F.sha2(F.array_join(F.transform("content.blocks", line), "\n").cast("binary"), 256)
+    return found.select("doc_id", "schema_version", "source.original_filename", "content.language", "content.reading_direction", "content.stats.word_count", "content.stats.block_count", "content.stats.chapter_count", F.col("analysis.quality.chapter_boundary_confidence").cast("double").alias("confidence"), digest.alias("blocks_sha256"))
+
+
+_FILES = "SELECT concat('registry/', kind, '/', CASE WHEN p_partkey % 11 = 0 THEN 'other' ELSE kind END, '.v', CAST(p_partkey % 12 AS STRING), '.', CAST(p_partkey % 2 AS STRING), '.schema.json', CASE WHEN p_partkey % 13 = 0 THEN '.bak' ELSE '' END) AS path, kind, p_partkey FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'manuscript' WHEN 1 THEN 'interior_pdf' ELSE '_shared' END AS kind FROM {part}) AS kinds"
+
+
+@query("latest_version", f"SELECT kind AS artifact_type, string_agg(DISTINCT version, ',' ORDER BY version) AS versions, max(version) AS latest FROM (SELECT kind, (p_partkey % 12) || '.' || (p_partkey % 2) AS version FROM ({_FILES.format(part='part')}) WHERE kind <> '_shared' AND p_partkey % 11 <> 0 AND p_partkey % 13 <> 0) GROUP BY kind")
+def latest_version(spark, sf_dir):
+    return records.schema_versions(spark.sql(_FILES, part=_table(spark, sf_dir, "part"))).withColumn("versions", F.array_join("versions", ","))
+
+
+@query("canonical_hash", "SELECT doc_id, 'sha256:' || sha256('{\"doc_id\":' || doc_id || ',\"meta\":{\"lang\":' || to_json(lang) || ',\"none\":null,\"source\":' || to_json(source) || '},\"ratio\":' || (doc_id % 8) / 8.0 || ',\"texts\":[' || to_json(text) || ',\"\"]}') AS hash FROM documents")
+def canonical_hash(spark, sf_dir):
+    meta = F.struct("source", F.lit(None).cast("string").alias("none"), "lang").alias("meta")
+    rows = _table(spark, sf_dir, "documents").select("doc_id", F.struct(F.array("text", F.lit("")).alias("texts"), meta, (F.col("doc_id") % 8 / 8.0).cast("double").alias("ratio"), "doc_id").alias("artifact"))
+    return rows.select("doc_id", canonical.canonical_hash(F.col("artifact"), rows.schema["artifact"].dataType).alias("hash"))
+
+
+@query("rule_registry", "SELECT rule, phase, place FROM (SELECT phase, unnest(string_split(ids, ' ')) AS rule, CAST(unnest(range(1, len(string_split(ids, ' ')) + 1)) AS INT) AS place FROM (VALUES ('ingest', 'R-001'), ('strip', 'N-001 N-003 N-005'), ('classify', 'C-007 C-001 C-008 C-002 C-006 C-004 C-005 C-009 C-003'), ('normalize', 'N-004'), ('validate', 'V-001 V-002 V-003 V-004 V-005 V-006'), ('emit', 'H-001')) AS phases(phase, ids))")
+def rule_registry(spark, sf_dir):
+    return registry.rule_table(spark)
