@@ -162,6 +162,7 @@ class NearGroups:
         firsts = self.signed.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "text_id")).alias("first"))
         self.classes = self.work.table(firsts.select("class", "first.*", F.monotonically_increasing_id().alias("rep")), "classes")
         heads = self.signed.join(self.classes, ["class", "doc_id", "text_id"]).select("rep", "n_shingles", "bands", "marks").dropDuplicates(["rep"])
+        heads = self.work.table(heads, "heads")
         spread = heads.select("rep", F.posexplode("bands").alias("band", "bucket"))
         shared = spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
         self.members = self.work.table(spread.join(shared, "bucket").select("bucket", "band", "hub", "rep"), "members")
