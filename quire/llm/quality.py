@@ -243,8 +243,10 @@ def limits_of(held: DataFrame, quantile: float) -> DataFrame:
     names = ("perplexity", "peak")
     near = lambda c, q: F.percentile_approx(c, q, 100_000)
     own = held.groupBy("lang").agg(F.count("*").alias("n"), *(near(x, quantile).alias(f"own_{x}") for x in names), *(near(x, 0.5).alias(f"mid_{x}") for x in names))
-    off = held.join(own, "lang")
+    few = held.select("lang").distinct().count() <= LABELS
+    small = F.broadcast if few else (lambda rows: rows)
+    off = held.join(small(own), "lang")
     spread = off.groupBy("lang").agg(*(F.greatest(near(F.abs(F.col(x) - F.col(f"mid_{x}")), 0.5), F.lit(1e-3)).alias(f"dev_{x}") for x in names))
-    pooled = off.join(spread, "lang").agg(*(near((F.col(x) - F.col(f"mid_{x}")) / F.col(f"dev_{x}"), quantile).alias(f"far_{x}") for x in names)).first()
+    pooled = off.join(small(spread), "lang").agg(*(near((F.col(x) - F.col(f"mid_{x}")) / F.col(f"dev_{x}"), quantile).alias(f"far_{x}") for x in names)).first()
     limit = lambda x: F.when(F.col("n") >= ENOUGH, F.col(f"own_{x}")).otherwise(F.col(f"mid_{x}") + F.lit(pooled[f"far_{x}"]).cast("double") * F.col(f"dev_{x}"))
     return own.join(spread, "lang").select("lang", *(limit(x).alias(f"most_{x}") for x in names))
